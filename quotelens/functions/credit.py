@@ -26,9 +26,8 @@ def duration_points(prior_insurance: Column, prior_months: Column) -> Column:
     return first_match([(months <= top, points) for top, points in fixed.DURATION_POINTS], fixed.LONG_DURATION_POINTS)
 
 
-def vehicle_age_points(rated_year: Column, newest_year: Column) -> Column:
-    """Points for the age of the newest vehicle, 0 where it is unknown."""
-    age = rated_year - newest_year
+def vehicle_age_points(age: Column) -> Column:
+    """Points for the age of the newest vehicle in years, 0 where it is unknown."""
     known = first_match([(age <= top, points) for top, points in fixed.VEHICLE_AGE_POINTS], fixed.OLD_VEHICLE_POINTS)
     return F.when(age.isNull(), 0).otherwise(known)
 
@@ -57,33 +56,18 @@ def homeowner_points(residency: Column) -> Column:
     return F.when(residency == fixed.HOMEOWNER_CODE, fixed.HOMEOWNER_POINTS).otherwise(0)
 
 
-def credit_components(
-    *, prior_insurance: Column, lapse_days: Column, prior_months: Column, rated_year: Column,
-    newest_year: Column, age: Column, limits: Column, vehicles: Column, residency: Column,
-) -> dict[str, Column]:
-    """Every part of the score by name, all integers."""
-    state = carrier_state(prior_insurance, lapse_days)
-    parts = {
-        "CarrierPoints": carrier_points(state),
-        "DurationPoints": duration_points(prior_insurance, prior_months),
-        "VehicleAgePoints": vehicle_age_points(rated_year, newest_year),
-        "AgePoints": age_points(age, state),
-        "LimitsPoints": limits_points(limits),
-        "VehicleCountPoints": vehicle_count_points(vehicles),
-        "HomeownerPoints": homeowner_points(residency),
-    }
-    return {name: points.cast("int") for name, points in parts.items()}
-
-
-def predicted_credit(**inputs: Column) -> Column:
-    """Base score plus all parts; null where age, limits, vehicle year or rated year is missing."""
+COMPONENTS = [
+    "CarrierPoints", "DurationPoints", "VehicleAgePoints", "AgePoints", "LimitsPoints", "VehicleCountPoints",
+    "HomeownerPoints",
+]
+
+
+def predicted_credit(age: Column, limits: Column, newest_year: Column, rated_year: Column) -> Column:
+    """Base score plus the component columns; null where one of the given inputs is missing."""
     score = F.lit(fixed.CREDIT_BASE)
-    for points in credit_components(**inputs).values():
-        score = score + points
-    complete = (
-        inputs["age"].isNotNull() & inputs["limits"].isNotNull()
-        & inputs["newest_year"].isNotNull() & inputs["rated_year"].isNotNull()
-    )
+    for name in COMPONENTS:
+        score = score + F.col(name)
+    complete = age.isNotNull() & limits.isNotNull() & newest_year.isNotNull() & rated_year.isNotNull()
     return F.when(complete, score.cast("int"))
 
 

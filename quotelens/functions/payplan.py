@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quotelens import fixed_values as fixed
-from quotelens.functions.lookup import first_match
+from quotelens.functions.lookup import first_match, small_table
 
 
 def repaired_percent(percent: Column, down_payment: Column, premium: Column) -> Column:
@@ -14,21 +14,24 @@ def repaired_percent(percent: Column, down_payment: Column, premium: Column) ->
     A derived percent is a whole number (ties to even) within 0..100, and 0
     where either amount is missing or the premium is zero.
     """
-    stated = F.when(~F.isnan(percent), percent)
-    share = F.try_divide(down_payment.cast("double"), F.nullif(premium.cast("double"), F.lit(0.0)))
+    share = F.try_divide(down_payment.cast("double"), premium.cast("double"))
     derived = F.least(F.greatest(F.coalesce(F.rint(share * 100), F.lit(0.0)), F.lit(0.0)), F.lit(100.0))
-    return F.when(stated > 100, derived).otherwise(stated)
+    return F.when(F.isnan(percent), None).when(percent > 100, derived).otherwise(percent)
 
 
-def percent_hundredths(percent: Column) -> Column:
-    """Percent rounded to a tenth (ties to even), near values merged, as hundredths."""
-    tenths = F.rint(percent * 10).cast("int")
+def percent_tenths(percent: Column) -> Column:
+    """Percent rounded to a tenth, ties to even, as whole tenths."""
+    return F.rint(percent * 10).cast("int")
+
+
+def merged_hundredths(tenths: Column) -> Column:
+    """Whole hundredths of a percent, near values merged. One pass: a merged value is not merged again."""
     merged: dict[int, list[int]] = {}
     for near, target in fixed.MERGED_PERCENTS.items():
         merged.setdefault(round(target * 100), []).append(round(near * 10))
     return F.coalesce(
         first_match([(tenths.isin(near), target) for target, near in merged.items()]), tenths * 10
-    )
+    ).cast("bigint")
 
 
 def payment_count(percent: Column, further_payments: Column) -> Column:
@@ -39,11 +42,10 @@ def payment_count(percent: Column, further_payments: Column) -> Column:
     return F.when(percent == 100.0, F.lit(1)).otherwise(further_payments + 1)
 
 
-def pay_plan(hundredths: Column, payments: Column) -> Column:
-    """Label of the plan, null for a pair that is not one of the known plans."""
-    return first_match(
-        [((hundredths == round(pct * 100)) & (payments == n), label) for pct, n, label in fixed.PAY_PLANS]
-    )
+def pay_plans(spark: SparkSession) -> DataFrame:
+    """The known plans: (hundredths, PaymentCount, PayPlan)."""
+    rows = [(round(pct * 100), n, label) for pct, n, label in fixed.PAY_PLANS]
+    return small_table(spark, ["hundredths", "PaymentCount", "PayPlan"], rows)
 
 
 def pay_plan_order(label: Column) -> Column:

@@ -14,21 +14,29 @@ from quotelens.operators.rates import EARLIEST_FOR_CUBE, clean_rates
 from quotelens.operators.vehicles import COVERAGE_CENTS, vehicle_totals
 from quotelens.schemas import CUBE_KEYS, MEASURES, SLICE
 
-RATE_KEY = [*SLICE, "RateId"]
+RATE_KEY = ["RateId", *SLICE]
 RATE_DIMENSIONS = ["CompanyName", "PremBin", "PayPlan", "NonOwner", "Term"]
 PROFILE_DIMENSIONS = [
     "LiabLimits", "NumDrivers", "NumVehicles", "County", "PriorInsurance", "YearBin", "CreditBin",
 ]
 
 
-def credit_inputs(rated_year) -> dict:
-    """Columns of a rate profile that the credit score is made of."""
-    return {
-        "prior_insurance": F.col("PriorInsurance"), "lapse_days": F.col("PriorDaysLapse"),
-        "prior_months": F.col("PriorMonthsCovg"), "rated_year": rated_year,
-        "newest_year": F.col("Year"), "age": F.col("NamedInsuredAge"), "limits": F.col("LiabLimits"),
-        "vehicles": F.col("VehicleCount"), "residency": F.col("ResidencyStatus"),
+def with_credit_parts(profile: DataFrame) -> DataFrame:
+    """Add every component of the credit score; the rated year is in `rated_year`."""
+    staged = profile.withColumns({
+        "carrier": credit.carrier_state(F.col("PriorInsurance"), F.col("PriorDaysLapse")),
+        "vehicle_age": F.col("rated_year") - F.col("Year"),
+    })
+    parts = {
+        "CarrierPoints": credit.carrier_points(F.col("carrier")),
+        "DurationPoints": credit.duration_points(F.col("PriorInsurance"), F.col("PriorMonthsCovg")),
+        "VehicleAgePoints": credit.vehicle_age_points(F.col("vehicle_age")),
+        "AgePoints": credit.age_points(F.col("NamedInsuredAge"), F.col("carrier")),
+        "LimitsPoints": credit.limits_points(F.col("LiabLimits")),
+        "VehicleCountPoints": credit.vehicle_count_points(F.col("VehicleCount")),
+        "HomeownerPoints": credit.homeowner_points(F.col("ResidencyStatus")),
     }
+    return staged.withColumns({name: points.cast("int") for name, points in parts.items()}).drop("carrier", "vehicle_age")
 
 
 def rate_profile(car: DataFrame, driver: DataFrame) -> DataFrame:
@@ -48,15 +56,19 @@ def with_profile_dimensions(profile: DataFrame, config: MarketConfig) -> DataFra
     Quotes are only kept in the month they were rated in, so the rated year is
     that of the slice.
     """
-    rated_year = F.floor(F.col("Year_Month").try_cast("int") / 100).cast("int")
     scored = F.col("State_Name").isin(list(config.credit_states))
+    score = credit.predicted_credit(
+        F.col("NamedInsuredAge"), F.col("LiabLimits"), F.col("Year"), F.col("rated_year"))
     return (
-        profile.withColumn(
-            "PredictedCredit", F.when(scored, credit.predicted_credit(**credit_inputs(rated_year))))
-        .withColumn("CreditBin", credit.credit_bin(F.col("PredictedCredit")))
-        .withColumn("YearBin", bins.vehicle_year_bin(F.col("Year")))
-        .withColumn("NumDrivers", bins.driver_count_label(F.col("DriverCount")))
-        .withColumn("NumVehicles", bins.vehicle_count_label(F.col("VehicleCount")))
+        with_credit_parts(profile.withColumn("rated_year", F.substring("Year_Month", 1, 4).try_cast("int")))
+        .withColumn("PredictedCredit", F.when(scored, score))
+        .withColumns({
+            "CreditBin": credit.credit_bin(F.col("PredictedCredit")),
+            "YearBin": bins.vehicle_year_bin(F.col("Year")),
+            "NumDrivers": bins.driver_count_label(F.col("DriverCount")),
+            "NumVehicles": bins.vehicle_count_label(F.col("VehicleCount")),
+        })
+        .drop("rated_year", *credit.COMPONENTS)
     )
 
 

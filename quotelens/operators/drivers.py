@@ -9,8 +9,8 @@ from quotelens.functions.lookup import ordering
 from quotelens.operators.joins import lookup_join
 from quotelens.schemas import SLICE
 
-DRIVER_KEY = [*SLICE, "RateDriverId"]
-RATE_LINK = [*SLICE, "RateLinkID"]
+DRIVER_KEY = ["RateDriverId", *SLICE]
+RATE_LINK = ["RateLinkID", *SLICE]
 NAMED_INSURED = ["Age", "ResidencyStatus", "PriorMonthsCovg", "PriorDaysLapse"]
 
 

@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quotelens.config import MarketConfig
 from quotelens.functions import payplan
-from quotelens.functions.lookup import ordering
+from quotelens.functions.lookup import ordering, small_table
 from quotelens.operators.joins import lookup_join
 from quotelens.schemas import SLICE
 
-POLICY = [*SLICE, "PolicyLinkID"]
-QUOTE = [*POLICY, "CompanyId", "PayPlan"]
+# Ids come first in every key: the sorts behind these aggregates and joins compare
+# the leading column most cheaply, and an id decides nearly every comparison.
+POLICY = ["PolicyLinkID", *SLICE]
+QUOTE = ["PolicyLinkID", "CompanyId", *SLICE, "PayPlan"]
 
 # Order that decides which quote of a key is the earliest: the iteration, then
 # the lower premium, then every remaining column so that the pick never depends
@@ -51,14 +53,21 @@ def drop_inconsistent_policies(rate: DataFrame) -> DataFrame:
 
 
 def with_pay_plan(rate: DataFrame) -> DataFrame:
-    """Repair PercentDown and add PaymentCount and PayPlan (null if not a known plan)."""
+    """Repair PercentDown and add PaymentCount and PayPlan (null if not a known plan).
+
+    Each step is a column of its own, so that it is computed once.
+    """
     percent = payplan.repaired_percent(F.col("PercentDown"), F.col("DownPayment"), F.col("TotalPremium"))
-    return (
+    staged = (
         rate.withColumn("PercentDown", percent)
-        .withColumn("PaymentCount", payplan.payment_count(F.col("PercentDown"), F.col("NumOfPayments")))
-        .withColumn("PayPlan", payplan.pay_plan(
-            payplan.percent_hundredths(F.col("PercentDown")), F.col("PaymentCount")))
+        .withColumns({
+            "PaymentCount": payplan.payment_count(F.col("PercentDown"), F.col("NumOfPayments")),
+            "tenths": payplan.percent_tenths(F.col("PercentDown")),
+        })
+        .withColumn("hundredths", payplan.merged_hundredths(F.col("tenths")))
     )
+    plans = F.broadcast(payplan.pay_plans(rate.sparkSession))
+    return staged.join(plans, ["hundredths", "PaymentCount"], "left").drop("tenths", "hundredths")
 
 
 def purchased_flag(planned: DataFrame) -> DataFrame:
@@ -91,7 +100,7 @@ def with_company_name(rate: DataFrame, config: MarketConfig) -> DataFrame:
     if not pairs:
         return rate.withColumn("CompanyName", own_id)
     # Bounded by the configuration: one small row per configured id.
-    names = rate.sparkSession.createDataFrame(pairs, "State_Name string, CompanyId bigint, MappedName string")
+    names = small_table(rate.sparkSession, ["State_Name", "CompanyId", "MappedName"], pairs)
     return (
         rate.join(F.broadcast(names), ["State_Name", "CompanyId"], "left")
         .withColumn("CompanyName", F.coalesce("MappedName", own_id))

@@ -10,7 +10,7 @@ from quotelens.functions.lookup import cents, dollars, ordering
 from quotelens.operators.joins import lookup_join
 from quotelens.schemas import SLICE
 
-RATE_LINK = [*SLICE, "RateLinkID"]
+RATE_LINK = ["RateLinkID", *SLICE]
 COVERAGE_CENTS = [f"{c}Cents" for c in fixed.COVERAGES]
 
 
@@ -32,7 +32,10 @@ def vehicle_totals(car: DataFrame) -> DataFrame:
     first vehicle is the one with the lowest id.
     """
     vehicles = with_liability_label(car).where(F.col("RateLinkID").isNotNull())
-    vehicles = vehicles.withColumn("County", bins.clean_county(F.col("County")))
+    vehicles = vehicles.withColumns({
+        "County": bins.clean_county(F.col("County")),
+        **{total: cents(f"{c}Premium") for c, total in zip(fixed.COVERAGES, COVERAGE_CENTS)},
+    })
     return (
         vehicles.groupBy(*RATE_LINK)
         .agg(
@@ -40,10 +43,7 @@ def vehicle_totals(car: DataFrame) -> DataFrame:
             F.min(ordering("RateVehicleId", "LiabLimits", "County")).alias("first"),
             F.count("Year").alias("VehicleCount"),
             F.max("Year").alias("Year"),
-            *[
-                F.coalesce(F.sum(cents(f"{c}Premium")), F.lit(0)).alias(total)
-                for c, total in zip(fixed.COVERAGES, COVERAGE_CENTS)
-            ],
+            *[F.coalesce(F.sum(total), F.lit(0)).alias(total) for total in COVERAGE_CENTS],
         )
         .where(~F.col("invalid"))
         .select(

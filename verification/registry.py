@@ -88,7 +88,7 @@ def drop_inconsistent_policies(spark, sf):
 
 
 def percent_down_normalize(spark, sf):
-    normal = payplan.percent_hundredths(F.col("PercentDown")) / F.lit(100.0)
+    normal = payplan.merged_hundredths(payplan.percent_tenths(F.col("PercentDown"))) / F.lit(100.0)
     return _planned(spark, sf).select(*RATE_ROW, "PercentDown", normal.alias("NormalPercent"))
 
 
@@ -157,8 +157,8 @@ def _with_dimensions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def credit_components(spark, sf):
-    parts = credit.credit_components(**cubes.credit_inputs(F.year("RatedDate")))
-    return _joined(spark, sf).select(*JOINED_KEY, *[points.alias(name) for name, points in parts.items()])
+    parts = cubes.with_credit_parts(_joined(spark, sf).withColumn("rated_year", F.year("RatedDate")))
+    return parts.select(*JOINED_KEY, *credit.COMPONENTS)
 
 
 # --- cubes -----------------------------------------------------------------
