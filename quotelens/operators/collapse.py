@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quotelens import fixed_values as fixed
 from quotelens.config import MarketConfig
-from quotelens.schemas import COUNT_MEASURES, CUBE_KEYS, MEASURES, TOTAL
+from quotelens.functions.lookup import total
+from quotelens.schemas import COUNT_MEASURES, CUBE_KEYS, MEASURES
 
 
 def regroup(cube: DataFrame) -> DataFrame:
     """Sum the measures of rows that have become equal in every dimension."""
     sums = [
-        F.coalesce(F.sum(m), F.lit(0)).cast("bigint" if m in COUNT_MEASURES else TOTAL).alias(m) for m in MEASURES
+        (F.coalesce(F.sum(m), F.lit(0)) if m in COUNT_MEASURES else total(m)).alias(m) for m in MEASURES
     ]
     return cube.groupBy(*CUBE_KEYS).agg(*sums)
 

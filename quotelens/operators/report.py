@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from quotelens import fixed_values as fixed
 from quotelens.config import MarketConfig
 from quotelens.functions import metrics
+from quotelens.functions.lookup import total
 
 SLICE_SUMS = ["Quotes", "SumPremium", "BridgingCount", "SumBridgingPremium"]
 REPORT_COLUMNS = [
@@ -105,15 +106,13 @@ def company_slice(
         return reduce(Column.__add__, [F.lit(p / 100) * amount(f"Sum{c}Premium") for c, p in active.items()])
 
     ours = config.is_ours(F.col("State"), F.col("CompanyName"))
-    written = F.sum("SumPremium").cast("double")
-    purchased = F.sum("SumBridgingPremium").cast("double")
+    written, purchased = total("SumPremium"), total("SumBridgingPremium")
     if active:
-        premium = F.col("SumPremium").cast("double")
-        kept = 1 - F.try_divide(off(lambda name: F.col(name).cast("double")), premium)
-        bridged = F.col("SumBridgingPremium").cast("double")
-        purchased = F.sum(F.when(ours & (premium > 0), kept * bridged).otherwise(bridged))
+        kept = 1 - F.try_divide(off(F.col), F.col("SumPremium"))
+        bridged = F.col("SumBridgingPremium")
+        purchased = F.sum(F.when(ours & (F.col("SumPremium") > 0), kept * bridged).otherwise(bridged))
         # A grouping key decides who is discounted, so any row of the group can tell.
-        written = written - F.when(F.max(ours), off(lambda name: F.sum(name).cast("double"))).otherwise(F.lit(0.0))
+        written = written - F.when(F.max(ours), off(total)).otherwise(F.lit(0.0))
     return sliced.groupBy("State", "CompanyName").agg(
         F.sum("Quotes").cast("double").alias("Quotes"),
         written.alias("SumPremium"),
@@ -148,8 +147,8 @@ def company_metrics(sums: DataFrame) -> DataFrame:
 
 def market_share(sums: DataFrame) -> DataFrame:
     """Share of the state's quotes, in percent."""
-    total = F.sum("Quotes").over(Window.partitionBy("State"))
-    return sums.withColumn("SizePct", metrics.ratio(F.col("Quotes"), total) * 100)
+    whole = F.sum("Quotes").over(Window.partitionBy("State"))
+    return sums.withColumn("SizePct", metrics.ratio(F.col("Quotes"), whole) * 100)
 
 
 def company_ranks(rows: DataFrame) -> DataFrame:
@@ -240,8 +239,8 @@ def company_report(
         F.lit(False),
     )
     rows = rows.withColumns({"IsReference": reference, "IsTotal": F.lit(False)})
-    total = report_total(sums, config).withColumns({"IsReference": F.lit(False), "IsTotal": F.lit(True)})
-    report = rows.unionByName(total, allowMissingColumns=True)
+    totals = report_total(sums, config).withColumns({"IsReference": F.lit(False), "IsTotal": F.lit(True)})
+    report = rows.unionByName(totals, allowMissingColumns=True)
     return report.select(*REPORT_COLUMNS).orderBy("State", *display_order())
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from quotelens import fixed_values as fixed
 
 MONEY = T.DecimalType(12, 2)        # one quote or vehicle
-TOTAL = T.DecimalType(18, 2)        # one cube cell
+TOTAL = T.DoubleType()              # one cube cell; summed by whole cents
 
 SLICE = ["State_Name", "Year_Month"]
 SLICE_FIELDS = [T.StructField(name, T.StringType()) for name in SLICE]

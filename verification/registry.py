@@ -10,7 +10,8 @@ from quotelens import fixed_values as fixed
 from quotelens.functions import bins, credit, payplan
 from quotelens.operators import catalog, collapse, cube as cubes, drivers, months, rates, report, vehicles
 from quotelens.operators.report import ReportFilters
-from quotelens.schemas import CUBE_KEYS, MEASURES, SLICE
+from quotelens.functions.lookup import dollars, total
+from quotelens.schemas import COUNT_MEASURES, CUBE_KEYS, MEASURES, SLICE
 from quotelens.sources.facts import fetch_table
 from verification.mapping import CONFIG, mapped_facts
 from verification.scratch import cube_store
@@ -133,8 +134,8 @@ def _joined(spark: SparkSession, sf: str) -> DataFrame:
 
 def rate_car_driver(spark, sf):
     amounts = [
-        (F.col(total) / F.lit(100.0)).alias(f"{c}Premium")
-        for c, total in zip(fixed.COVERAGES, vehicles.COVERAGE_CENTS)
+        dollars(F.col(name)).alias(f"{c}Premium")
+        for c, name in zip(fixed.COVERAGES, vehicles.COVERAGE_CENTS)
     ]
     return plain(_joined(spark, sf).select(
         *JOINED_KEY, "PurchasedFinal", "TotalPremium", "LiabLimits", "County", "VehicleCount", "Year",
@@ -180,7 +181,8 @@ def union_months(spark, sf):
     """An older part, from before county and credit were dimensions, and a newer one."""
     cube = _monthly(spark, sf)
     keys = [k for k in CUBE_KEYS if k not in ("County", "CreditBin")]
-    older = cube.where("YYYYMM <= 202502").groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    older = cube.where("YYYYMM <= 202502").groupBy(*keys).agg(
+        *[(F.sum(m) if m in COUNT_MEASURES else total(m)).alias(m) for m in MEASURES])
     return plain(months.union_months(older, cube.where("YYYYMM > 202502")))
 
 
