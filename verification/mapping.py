@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quotelens.config import MarketConfig
+from quotelens.schemas import FACTS
 
 # Company ids of the mapped quotes are 7000000 to 7000023.
 CONFIG = MarketConfig(
@@ -102,13 +103,11 @@ def _spread(table: DataFrame) -> DataFrame:
     return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
-def mapped_facts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Fact tables over the test tables of one scale factor."""
+def mapped_facts(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """The named fact tables (all four by default) over the test tables of one scale factor."""
     tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SOURCE_TABLES}
     tables["lineitem"] = _spread(tables["lineitem"])
     # Views are resolved when the query is analysed, so reusing their names is safe.
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
-    return {
-        name: spark.sql(f"{FACTS_SQL} SELECT * FROM fx_{name}") for name in ("rate", "car", "driver", "violation")
-    }
+    return {name: spark.sql(f"{FACTS_SQL} SELECT * FROM fx_{name}") for name in names or FACTS}

@@ -395,7 +395,7 @@ def oracle_sql() -> dict[str, str]:
     # catalogue
     sql["state_index"] = f"{UP_TO_STATE} {index_out('scube')}"
     sql["upsert_index"] = f"""{UP_TO_STATE}, fresh AS ({index_out('scube')}),
-      old AS ({index_out("(SELECT * FROM cube WHERE YYYYMM < 202503)")})
+      old AS ({index_out("(SELECT * FROM scube WHERE YYYYMM < 202503)")})
       SELECT * FROM fresh WHERE state IN ('IL', 'AZ') UNION ALL SELECT * FROM old WHERE state NOT IN ('IL', 'AZ')"""
     sql["displayable_states"] = f"""{UP_TO_STATE} SELECT DISTINCT State AS state FROM scube WHERE State IN ('IL', 'AZ')"""
     sql["distinct_pay_plans"] = f"""{UP_TO_STATE} SELECT DISTINCT s.State, s.PayPlan, p.ord AS PlanOrder

@@ -56,11 +56,11 @@ def rounded(rows: DataFrame) -> DataFrame:
 # --- facts -----------------------------------------------------------------
 
 def _scan(name: str) -> Query:
-    return lambda spark, sf: plain(fetch_table(mapped_facts(spark, sf)[name], name, "IL", "202501"))
+    return lambda spark, sf: plain(fetch_table(mapped_facts(spark, sf, name)[name], name, "IL", "202501"))
 
 
 def _rate(spark: SparkSession, sf: str) -> DataFrame:
-    return mapped_facts(spark, sf)["rate"]
+    return mapped_facts(spark, sf, "rate")["rate"]
 
 
 def _planned(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,32 +103,32 @@ def company_name(spark, sf):
 
 
 def county_clean(spark, sf):
-    car = mapped_facts(spark, sf)["car"]
+    car = mapped_facts(spark, sf, "car")["car"]
     return car.select(*CAR_ROW, bins.clean_county(F.col("County")).alias("County"))
 
 
 def liability_label(spark, sf):
-    car = vehicles.with_liability_label(mapped_facts(spark, sf)["car"])
+    car = vehicles.with_liability_label(mapped_facts(spark, sf, "car")["car"])
     return car.select(*CAR_ROW, "LiabLimits1", "LiabLimits2", "LiabLimits")
 
 
 def drop_invalid_liability_rates(spark, sf):
-    return vehicles.drop_invalid_rates(mapped_facts(spark, sf)["car"]).select(*CAR_ROW, "LiabLimits")
+    return vehicles.drop_invalid_rates(mapped_facts(spark, sf, "car")["car"]).select(*CAR_ROW, "LiabLimits")
 
 
 def driver_at_fault(spark, sf):
-    facts = mapped_facts(spark, sf)
+    facts = mapped_facts(spark, sf, "driver", "violation")
     flagged = drivers.driver_at_fault(facts["driver"], facts["violation"])
     return flagged.select(*SLICE, "RateLinkID", "RateDriverId", "Relation", "AtFault")
 
 
 def driver_profile(spark, sf):
-    facts = mapped_facts(spark, sf)
+    facts = mapped_facts(spark, sf, "driver", "violation")
     return drivers.driver_profile(facts["driver"], facts["violation"])
 
 
 def _joined(spark: SparkSession, sf: str) -> DataFrame:
-    facts = mapped_facts(spark, sf)
+    facts = mapped_facts(spark, sf, "rate", "car", "driver")
     return cubes.rate_car_driver(facts["rate"], facts["car"], facts["driver"], CONFIG)
 
 
@@ -165,7 +165,7 @@ def credit_components(spark, sf):
 # --- cubes -----------------------------------------------------------------
 
 def monthly_cube(spark, sf):
-    facts = mapped_facts(spark, sf)
+    facts = mapped_facts(spark, sf, "rate", "car", "driver")
     return plain(cubes.monthly_cube(facts["rate"], facts["car"], facts["driver"], CONFIG))
 
 
@@ -211,7 +211,7 @@ def _index(spark: SparkSession, sf: str) -> DataFrame:
 
 def upsert_index(spark, sf):
     """Entries of earlier months, of which the active states are replaced."""
-    existing = catalog.state_index(_monthly(spark, sf).where("YYYYMM < 202503"), CONFIG)
+    existing = catalog.state_index(_states(spark, sf).where("YYYYMM < 202503"), CONFIG)
     return plain(catalog.upsert_index(existing, months.only_active(_index(spark, sf), CONFIG, "state")))
 
 
@@ -288,7 +288,7 @@ QUERIES: dict[str, Query] = {
     "scan_driver": _scan("driver"),
     "scan_violation": _scan("violation"),
     "discover_state_months": discover_state_months,
-    "state_months": lambda spark, sf: plain(months.state_months(_rate(spark, sf))),
+    "state_months": lambda spark, sf: plain(months.state_months(discover_state_months(spark, sf))),
     "active_states": active_states,
     "filter_rated_month": filter_rated_month,
     "drop_inconsistent_policies": drop_inconsistent_policies,
@@ -302,9 +302,9 @@ QUERIES: dict[str, Query] = {
     "county_clean": county_clean,
     "liability_label": liability_label,
     "drop_invalid_liability_rates": drop_invalid_liability_rates,
-    "car_profile": lambda spark, sf: plain(vehicles.car_profile(mapped_facts(spark, sf)["car"])),
+    "car_profile": lambda spark, sf: plain(vehicles.car_profile(mapped_facts(spark, sf, "car")["car"])),
     "driver_at_fault": driver_at_fault,
-    "named_insured": lambda spark, sf: drivers.named_insured(mapped_facts(spark, sf)["driver"]),
+    "named_insured": lambda spark, sf: drivers.named_insured(mapped_facts(spark, sf, "driver")["driver"]),
     "driver_profile": driver_profile,
     "rate_car_driver": rate_car_driver,
     "premium_bin": premium_bin,

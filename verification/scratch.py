@@ -30,7 +30,7 @@ def cube_store(spark: SparkSession, sf_dir: str) -> CubeStore:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
         store = CubeStore(spark, f"{scratch_root(spark)}/quotelens-{uuid.uuid4().hex}")
-        facts = mapped_facts(spark, sf_dir)
+        facts = mapped_facts(spark, sf_dir, "rate", "car", "driver")
         store.write_monthly(monthly_cube(facts["rate"], facts["car"], facts["driver"], CONFIG))
         store.write_states(state_cube(store.monthly(), CONFIG))
         _stores[key] = store
