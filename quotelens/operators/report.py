@@ -184,17 +184,21 @@ def report_total(sums: DataFrame, config: MarketConfig) -> DataFrame:
     """TOTAL row per state that has quotes.
 
     Its comparison columns put the average of all other companies against the
-    reference company.
+    reference company. Company sums are added as decimals, so that a total does
+    not depend on their order.
     """
     company = F.col("CompanyName")
 
+    def added(amount: Column) -> Column:
+        return F.sum(amount.cast("decimal(28,6)")).cast("double")
+
     def reference(name: Column) -> tuple[Column, Column]:
         is_it = F.coalesce(company == name, F.lit(False))
 
         def average(rows: Column) -> Column:
             return metrics.ratio(
-                F.sum(F.when(rows, F.col("SumBridgingPremium")).otherwise(0.0)),
-                F.sum(F.when(rows, F.col("BridgingCount")).otherwise(0.0)),
+                added(F.when(rows, F.col("SumBridgingPremium")).otherwise(0.0)),
+                added(F.when(rows, F.col("BridgingCount")).otherwise(0.0)),
             )
 
         return average(is_it), average(~is_it)
@@ -202,7 +206,7 @@ def report_total(sums: DataFrame, config: MarketConfig) -> DataFrame:
     compare, without_compare = reference(config.comparison_for(F.col("State")))
     house, without_house = reference(F.lit(config.house_company))
     totals = sums.groupBy("State").agg(
-        *[F.sum(name).alias(name) for name in SLICE_SUMS],
+        *[added(F.col(name)).alias(name) for name in SLICE_SUMS],
         metrics.versus(without_compare, compare).alias("VsCompareCo"),
         metrics.versus(without_house, house).alias("VsSIC"),
     )

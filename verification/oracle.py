@@ -213,25 +213,33 @@ COMPARE = "CASE State WHEN 'IL' THEN 'UIC' WHEN 'AZ' THEN 'SunCoast' END"
 OURS = ("((State = 'IL' AND CompanyName IN ('UIC', 'SIC')) OR (State = 'AZ' AND CompanyName IN ('SunCoast', 'SIC')))")
 
 
+def without(company: str) -> str:
+    """Average purchased premium of all companies but one."""
+    return f"""CAST(sum(CASE WHEN CompanyName <> {company} THEN SumBridgingPremium END) AS DOUBLE)
+      / nullif(sum(CASE WHEN CompanyName <> {company} THEN BridgingCount END), 0)"""
+
+
 def report(where: str = DEFAULT_WHERE, discounts: dict[str, float] | None = None) -> str:
     """CTEs up to `ranked` (one row per company) and `total` (one row per state)."""
-    adjusted, scale = "CAST(SumPremium AS DOUBLE)", "1"
+    # Sums stay decimals, so that adding and comparing them is exact.
+    written, purchased = "sum(SumPremium)", "sum(SumBridgingPremium)"
     if discounts:
         off = " + ".join(f"CAST({p / 100!r} AS DOUBLE) * CAST(Sum{c}Premium AS DOUBLE)" for c, p in discounts.items())
         adjusted = f"CASE WHEN {OURS} THEN CAST(SumPremium AS DOUBLE) - ({off}) ELSE CAST(SumPremium AS DOUBLE) END"
         scale = f"CASE WHEN SumPremium > 0 THEN ({adjusted}) / CAST(SumPremium AS DOUBLE) ELSE 1 END"
+        written, purchased = f"sum({adjusted})", f"sum(({scale}) * CAST(SumBridgingPremium AS DOUBLE))"
     return f"""
-slice_sums AS (SELECT State, CompanyName, CAST(sum(Quotes) AS DOUBLE) AS Quotes, sum({adjusted}) AS SumPremium,
-    CAST(sum(BridgingCount) AS DOUBLE) AS BridgingCount,
-    sum(({scale}) * CAST(SumBridgingPremium AS DOUBLE)) AS SumBridgingPremium
+slice_sums AS (SELECT State, CompanyName, CAST(sum(Quotes) AS DOUBLE) AS Quotes,
+    CAST({written} AS DECIMAL(28, 6)) AS SumPremium, CAST(sum(BridgingCount) AS DOUBLE) AS BridgingCount,
+    CAST({purchased} AS DECIMAL(28, 6)) AS SumBridgingPremium
   FROM scube WHERE {where} GROUP BY State, CompanyName),
 filled AS (SELECT c.State, c.CompanyName, coalesce(Quotes, 0) AS Quotes, coalesce(SumPremium, 0) AS SumPremium,
     coalesce(BridgingCount, 0) AS BridgingCount, coalesce(SumBridgingPremium, 0) AS SumBridgingPremium
   FROM (SELECT DISTINCT State, CompanyName FROM scube) c LEFT JOIN slice_sums s
   ON s.State = c.State AND s.CompanyName = c.CompanyName),
 ratios AS (SELECT *, CASE WHEN Quotes > 0 THEN BridgingCount / Quotes END AS BridgeRate,
-    CASE WHEN Quotes > 0 THEN SumPremium / Quotes END AS AvgPremium,
-    CASE WHEN BridgingCount > 0 THEN SumBridgingPremium / BridgingCount END AS AvgBridgingPremium,
+    CASE WHEN Quotes > 0 THEN CAST(SumPremium AS DOUBLE) / Quotes END AS AvgPremium,
+    CASE WHEN BridgingCount > 0 THEN CAST(SumBridgingPremium AS DOUBLE) / BridgingCount END AS AvgBridgingPremium,
     CASE WHEN sum(Quotes) OVER (PARTITION BY State) > 0
       THEN Quotes / sum(Quotes) OVER (PARTITION BY State) * 100 END AS SizePct FROM filled),
 ranks AS (SELECT *,
@@ -250,24 +258,23 @@ ranked AS (SELECT r.*, WrittenRank - BridgeRank AS RankDiff, RefCompare, RefHous
   FROM ranks r JOIN refs USING (State)),
 total AS (SELECT f.State, 'TOTAL' AS CompanyName, sum(Quotes) AS Quotes, sum(SumPremium) AS SumPremium,
     sum(BridgingCount) AS BridgingCount, sum(SumBridgingPremium) AS SumBridgingPremium,
-    sum(BridgingCount) / sum(Quotes) AS BridgeRate, sum(SumPremium) / sum(Quotes) AS AvgPremium,
-    CASE WHEN sum(BridgingCount) > 0 THEN sum(SumBridgingPremium) / sum(BridgingCount) END AS AvgBridgingPremium,
+    sum(BridgingCount) / sum(Quotes) AS BridgeRate, CAST(sum(SumPremium) AS DOUBLE) / sum(Quotes) AS AvgPremium,
+    CASE WHEN sum(BridgingCount) > 0 THEN CAST(sum(SumBridgingPremium) AS DOUBLE) / sum(BridgingCount) END
+      AS AvgBridgingPremium,
     CAST(100 AS DOUBLE) AS SizePct,
-    CASE WHEN max(RefCompare) > 0 THEN sum(CASE WHEN CompanyName <> {COMPARE.replace('State', 'f.State')} THEN SumBridgingPremium END)
-      / nullif(sum(CASE WHEN CompanyName <> {COMPARE.replace('State', 'f.State')} THEN BridgingCount END), 0) / max(RefCompare) - 1 END AS VsCompareCo,
-    CASE WHEN max(RefHouse) > 0 THEN sum(CASE WHEN CompanyName <> 'SIC' THEN SumBridgingPremium END)
-      / nullif(sum(CASE WHEN CompanyName <> 'SIC' THEN BridgingCount END), 0) / max(RefHouse) - 1 END AS VsSIC
+    CASE WHEN max(RefCompare) > 0 THEN {without(COMPARE.replace('State', 'f.State'))} / max(RefCompare) - 1 END AS VsCompareCo,
+    CASE WHEN max(RefHouse) > 0 THEN {without("'SIC'")} / max(RefHouse) - 1 END AS VsSIC
   FROM filled f JOIN refs USING (State) GROUP BY f.State HAVING sum(Quotes) > 0)"""
 
 
 REPORT_FIGURES = ["SizePct", "AvgPremium", "BridgeRate", "AvgBridgingPremium", "VsCompareCo", "VsSIC"]
-RATIOS_OUT = ", ".join(f"round({c}, 6) AS {c}" for c in REPORT_FIGURES)
-SUMS_OUT = ("Quotes, round(SumPremium, 4) AS SumPremium, BridgingCount, "
-            "round(SumBridgingPremium, 4) AS SumBridgingPremium")
+RATIOS_OUT = ", ".join(REPORT_FIGURES)
+ROUNDED_OUT = ", ".join(f"round({c}, 6) AS {c}" for c in REPORT_FIGURES)
+SUMS_OUT = f"Quotes, BridgingCount, {dbl('SumPremium', 'SumBridgingPremium')}"
 
 
 def report_out(where: str = DEFAULT_WHERE, discounts: dict[str, float] | None = None, having: str = "true") -> str:
-    columns = f"State, CompanyName, Quotes, BridgingCount, {RATIOS_OUT}"
+    columns = f"State, CompanyName, Quotes, BridgingCount, {ROUNDED_OUT if discounts else RATIOS_OUT}"
     return f"""{UP_TO_STATE}, {report(where, discounts)}, whole AS (
     SELECT {columns}, WrittenRank, BridgeRank, RankDiff, IsReference, false AS IsTotal FROM ranked
     UNION ALL
@@ -422,17 +429,15 @@ def oracle_sql() -> dict[str, str]:
     sql["company_slice"] = f"{UP_TO_STATE}, {report()} SELECT State, CompanyName, {SUMS_OUT} FROM slice_sums"
     sql["zero_fill_companies"] = f"{UP_TO_STATE}, {report(FILTERED)} SELECT State, CompanyName, {SUMS_OUT} FROM filled"
     sql["discount_what_if"] = f"""{UP_TO_STATE}, {report(DEFAULT_WHERE, WHAT_IF)}
-      SELECT State, CompanyName, {SUMS_OUT} FROM slice_sums"""
+      SELECT State, CompanyName, Quotes, BridgingCount, round(CAST(SumPremium AS DOUBLE), 4) AS SumPremium,
+      round(CAST(SumBridgingPremium AS DOUBLE), 4) AS SumBridgingPremium FROM slice_sums"""
     sql["company_metrics"] = f"""{UP_TO_STATE}, {report()} SELECT State, CompanyName, {SUMS_OUT},
-      round(BridgeRate, 6) AS BridgeRate, round(AvgPremium, 6) AS AvgPremium,
-      round(AvgBridgingPremium, 6) AS AvgBridgingPremium FROM ratios"""
-    sql["market_share"] = f"""{UP_TO_STATE}, {report()} SELECT State, CompanyName, Quotes, round(SizePct, 6) AS SizePct
-      FROM ratios"""
+      BridgeRate, AvgPremium, AvgBridgingPremium FROM ratios"""
+    sql["market_share"] = f"{UP_TO_STATE}, {report()} SELECT State, CompanyName, Quotes, SizePct FROM ratios"
     sql["company_ranks"] = f"""{UP_TO_STATE}, {report(FILTERED)} SELECT State, CompanyName, WrittenRank, BridgeRank, RankDiff
       FROM ranked"""
     sql["vs_reference"] = f"""{UP_TO_STATE}, {report()} SELECT State, CompanyName,
-      round(AvgBridgingPremium, 6) AS AvgBridgingPremium, round(VsCompareCo, 6) AS VsCompareCo, round(VsSIC, 6) AS VsSIC
-      FROM ranked"""
+      AvgBridgingPremium, VsCompareCo, VsSIC FROM ranked"""
     sql["report_total"] = f"""{UP_TO_STATE}, {report()} SELECT State, CompanyName, {SUMS_OUT}, {RATIOS_OUT} FROM total"""
     sql["company_report"] = report_out()
     sql["company_report_filtered"] = report_out(ONE_PLAN)

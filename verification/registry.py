@@ -48,7 +48,7 @@ def plain(rows: DataFrame) -> DataFrame:
 
 
 def rounded(rows: DataFrame) -> DataFrame:
-    """Sums to four and ratios to six decimals."""
+    """Sums to four and ratios to six decimals, for figures that are not sums of whole cents."""
     digits = {"SumPremium": 4, "SumBridgingPremium": 4, **dict.fromkeys(RATIOS, 6)}
     return rows.withColumns({c: F.round(c, n) for c, n in digits.items() if c in rows.columns})
 
@@ -247,7 +247,7 @@ def slice_provider(spark, sf):
 
 
 def company_slice(spark, sf):
-    return rounded(report.company_slice(report.slice_cube(_states(spark, sf), ReportFilters()), CONFIG))
+    return report.company_slice(report.slice_cube(_states(spark, sf), ReportFilters()), CONFIG)
 
 
 def discount_what_if(spark, sf):
@@ -260,7 +260,7 @@ def _sums(filters: ReportFilters = ReportFilters()) -> Query:
 
 
 def market_share(spark, sf):
-    return rounded(report.market_share(_sums()(spark, sf))).select("State", "CompanyName", "Quotes", "SizePct")
+    return report.market_share(_sums()(spark, sf)).select("State", "CompanyName", "Quotes", "SizePct")
 
 
 def company_ranks(spark, sf):
@@ -270,15 +270,14 @@ def company_ranks(spark, sf):
 
 def vs_reference(spark, sf):
     compared = report.vs_reference(report.company_metrics(_sums()(spark, sf)), CONFIG)
-    return rounded(compared).select("State", "CompanyName", "AvgBridgingPremium", "VsCompareCo", "VsSIC")
+    return compared.select("State", "CompanyName", "AvgBridgingPremium", "VsCompareCo", "VsSIC")
 
 
 def _report(filters: ReportFilters = ReportFilters(), discounts: dict | None = None) -> Query:
     return lambda spark, sf: report.company_report(_states(spark, sf), CONFIG, filters, discounts)
 
 
-def company_report(spark, sf):
-    return rounded(_report()(spark, sf))
+company_report = _report()
 
 
 QUERIES: dict[str, Query] = {
@@ -335,16 +334,16 @@ QUERIES: dict[str, Query] = {
     "slice_credit_range": _sliced(CREDIT_RANGE),
     "slice_provider": slice_provider,
     "company_slice": company_slice,
-    "zero_fill_companies": lambda spark, sf: rounded(_sums(FILTERED)(spark, sf)),
+    "zero_fill_companies": _sums(FILTERED),
     "discount_what_if": discount_what_if,
-    "company_metrics": lambda spark, sf: rounded(report.company_metrics(_sums()(spark, sf))),
+    "company_metrics": lambda spark, sf: report.company_metrics(_sums()(spark, sf)),
     "market_share": market_share,
     "company_ranks": company_ranks,
     "vs_reference": vs_reference,
-    "report_total": lambda spark, sf: rounded(report.report_total(_sums()(spark, sf), CONFIG)),
-    "company_report_filtered": lambda spark, sf: rounded(_report(ONE_PLAN)(spark, sf)),
+    "report_total": lambda spark, sf: report.report_total(_sums()(spark, sf), CONFIG),
+    "company_report_filtered": _report(ONE_PLAN),
     "company_report_what_if": lambda spark, sf: rounded(_report(discounts=WHAT_IF)(spark, sf)),
     "report_sorted": lambda spark, sf: report.sort_report(company_report(spark, sf), "AvgPremium", ascending=False),
     "report_where": lambda spark, sf: company_report(spark, sf).where("Quotes > 300 AND NOT IsTotal"),
-    "formatted_report": lambda spark, sf: report.formatted_report(_report()(spark, sf)),
+    "formatted_report": lambda spark, sf: report.formatted_report(company_report(spark, sf)),
 }
