@@ -222,16 +222,17 @@ def without(company: str) -> str:
 def report(where: str = DEFAULT_WHERE, discounts: dict[str, float] | None = None) -> str:
     """CTEs up to `ranked` (one row per company) and `total` (one row per state)."""
     # Sums stay decimals, so that adding and comparing them is exact.
-    written, purchased = "sum(SumPremium)", "sum(SumBridgingPremium)"
+    written, purchased, digits = "sum(SumPremium)", "sum(SumBridgingPremium)", 2
     if discounts:
+        digits = 10
         off = " + ".join(f"CAST({p / 100!r} AS DOUBLE) * CAST(Sum{c}Premium AS DOUBLE)" for c, p in discounts.items())
         adjusted = f"CASE WHEN {OURS} THEN CAST(SumPremium AS DOUBLE) - ({off}) ELSE CAST(SumPremium AS DOUBLE) END"
         scale = f"CASE WHEN SumPremium > 0 THEN ({adjusted}) / CAST(SumPremium AS DOUBLE) ELSE 1 END"
         written, purchased = f"sum({adjusted})", f"sum(({scale}) * CAST(SumBridgingPremium AS DOUBLE))"
     return f"""
 slice_sums AS (SELECT State, CompanyName, CAST(sum(Quotes) AS DOUBLE) AS Quotes,
-    CAST({written} AS DECIMAL(28, 6)) AS SumPremium, CAST(sum(BridgingCount) AS DOUBLE) AS BridgingCount,
-    CAST({purchased} AS DECIMAL(28, 6)) AS SumBridgingPremium
+    CAST({written} AS DECIMAL(28, {digits})) AS SumPremium, CAST(sum(BridgingCount) AS DOUBLE) AS BridgingCount,
+    CAST({purchased} AS DECIMAL(28, {digits})) AS SumBridgingPremium
   FROM scube WHERE {where} GROUP BY State, CompanyName),
 filled AS (SELECT c.State, c.CompanyName, coalesce(Quotes, 0) AS Quotes, coalesce(SumPremium, 0) AS SumPremium,
     coalesce(BridgingCount, 0) AS BridgingCount, coalesce(SumBridgingPremium, 0) AS SumBridgingPremium
@@ -269,7 +270,7 @@ total AS (SELECT f.State, 'TOTAL' AS CompanyName, sum(Quotes) AS Quotes, sum(Sum
 
 REPORT_FIGURES = ["SizePct", "AvgPremium", "BridgeRate", "AvgBridgingPremium", "VsCompareCo", "VsSIC"]
 RATIOS_OUT = ", ".join(REPORT_FIGURES)
-ROUNDED_OUT = ", ".join(f"round({c}, 6) AS {c}" for c in REPORT_FIGURES)
+ROUNDED_OUT = ", ".join(f"round({c}, 8) AS {c}" for c in REPORT_FIGURES)
 SUMS_OUT = f"Quotes, BridgingCount, {dbl('SumPremium', 'SumBridgingPremium')}"
 
 

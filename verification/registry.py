@@ -48,8 +48,8 @@ def plain(rows: DataFrame) -> DataFrame:
 
 
 def rounded(rows: DataFrame) -> DataFrame:
-    """Sums to four and ratios to six decimals, for figures that are not sums of whole cents."""
-    digits = {"SumPremium": 4, "SumBridgingPremium": 4, **dict.fromkeys(RATIOS, 6)}
+    """Sums to four and ratios to eight decimals, for figures that are not sums of whole cents."""
+    digits = {"SumPremium": 4, "SumBridgingPremium": 4, **dict.fromkeys(RATIOS, 8)}
     return rows.withColumns({c: F.round(c, n) for c, n in digits.items() if c in rows.columns})
 
 
