@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from quotelens import fixed_values as fixed
 from quotelens.config import MarketConfig
 from quotelens.functions.lookup import total
+from quotelens.operators.months import upsert_months
 from quotelens.schemas import COUNT_MEASURES, CUBE_KEYS, MEASURES
 
 
@@ -83,6 +84,15 @@ def county_top_n(cube: DataFrame, config: MarketConfig) -> DataFrame:
     return regroup(_relabel_counties(cube, config))
 
 
+def merge_folded(folded: DataFrame, fresh: DataFrame, config: MarketConfig) -> DataFrame:
+    """Put fresh months into a cube that was folded before, and fold again.
+
+    For stores that keep no unfolded cube. What was folded stays Other, so the
+    result depends on the order of refreshes; `state_cube` on all months does not.
+    """
+    return state_cube(upsert_months(folded, fresh), config)
+
+
 def state_cube(cube: DataFrame, config: MarketConfig) -> DataFrame:
     """Fold companies and counties of all months together.
 

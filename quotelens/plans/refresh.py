@@ -13,7 +13,7 @@ from quotelens.operators import months as month_ops
 from quotelens.operators.catalog import state_index, upsert_index
 from quotelens.operators.collapse import state_cube
 from quotelens.operators.cube import monthly_cube
-from quotelens.sources.facts import Slice, check_slice, in_slices, read_dump, read_facts, scan_dump
+from quotelens.sources.facts import Slice, check_slice, in_slices, read_dump, read_facts, scan_dump, scan_slices
 from quotelens.sources.store import CubeStore
 
 Facts = dict[str, DataFrame]
@@ -102,9 +102,7 @@ def main(argv: list[str] | None = None) -> int:
     facts = (read_dump if args.dump else read_facts)(spark, args.facts)
 
     def discovered() -> DataFrame:
-        if args.dump:
-            return scan_dump(spark, args.facts)
-        return month_ops.discover_state_months(facts["rate"])
+        return (scan_dump if args.dump else scan_slices)(spark, args.facts)
 
     if args.mode == "discover":
         month_ops.state_months(discovered()).orderBy("State").show(1000, truncate=False)

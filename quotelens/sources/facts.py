@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quotelens import fixed_values as fixed
-from quotelens.schemas import FACTS, SLICE, fact_schema
+from quotelens.schemas import FACTS, SLICE, SLICE_FIELDS, fact_schema
 
 Slice = tuple[str, str]
 
@@ -49,19 +49,54 @@ def fetch_table(table: DataFrame, name: str, state: str, month: str) -> DataFram
     return fetch(table, FACTS[name].fieldNames(), state, month)
 
 
+_NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet under a path with the given schema; no rows if the path does not exist."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in _NOTHING_THERE:
             raise
         return spark.createDataFrame([], schema)
 
 
 def read_facts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Fact tables stored as `<root>/<table>/State_Name=.../Year_Month=...`."""
-    return {name: read_or_empty(spark, f"{root}/{name}", fact_schema(name)) for name in FACTS}
+    """Fact tables stored as `<root>/<table>/State_Name=.../Year_Month=...`.
+
+    Stored types may differ (timestamps for dates, doubles for money) and
+    columns may lack; missing tables are empty.
+    """
+    facts = {}
+    for name in FACTS:
+        try:
+            facts[name] = _conform(spark.read.parquet(f"{root}/{name}"), name)
+        except AnalysisException as error:
+            if error.getCondition() not in _NOTHING_THERE:
+                raise
+            facts[name] = spark.createDataFrame([], fact_schema(name))
+    return facts
+
+
+def scan_slices(spark: SparkSession, root: str) -> DataFrame:
+    """Slices of the partitioned quote table, from its folders alone: one row per file, none opened."""
+    try:
+        files = spark.read.format("binaryFile").load(f"{root}/rate").select("path")
+    except AnalysisException as error:
+        if error.getCondition() not in _NOTHING_THERE:
+            raise
+        return spark.createDataFrame([], T.StructType(SLICE_FIELDS))
+    return _slices_in(files, "/State_Name=([A-Z]{2})/Year_Month=([0-9]{6})/")
+
+
+def _slices_in(files: DataFrame, pattern: str) -> DataFrame:
+    return (
+        files.where(F.col("path").rlike(pattern))
+        .select(F.regexp_extract("path", pattern, 1).alias("State_Name"),
+                F.regexp_extract("path", pattern, 2).alias("Year_Month"))
+        .distinct().orderBy(*SLICE)
+    )
 
 
 def write_facts(facts: dict[str, DataFrame], root: str) -> None:
@@ -117,19 +152,12 @@ def scan_dump(spark: SparkSession, root: str) -> DataFrame:
     """Slices of a dump, from the names of its quote files."""
     folder = f"{root}/{fixed.DUMP_TABLES['rate']}"
     try:
-        # Only the path column is read, so no file is opened.
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder).select("path")
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in _NOTHING_THERE:
             raise
-        return spark.createDataFrame([], T.StructType(fact_schema("rate").fields[-2:]))
-    pattern = _file_pattern("rate")
-    return (
-        files.where(F.col("path").rlike(pattern))
-        .select(F.regexp_extract("path", pattern, 1).alias("State_Name"),
-                F.regexp_extract("path", pattern, 2).alias("Year_Month"))
-        .distinct().orderBy(*SLICE)
-    )
+        return spark.createDataFrame([], T.StructType(SLICE_FIELDS))
+    return _slices_in(files, _file_pattern("rate"))
 
 
 def read_dump(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -142,7 +170,7 @@ def read_dump(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         try:
             rows = spark.read.option("pathGlobFilter", f"{table}_*.parquet").parquet(f"{root}/{table}")
         except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() not in _NOTHING_THERE:
                 raise
             facts[name] = spark.createDataFrame([], fact_schema(name))
             continue

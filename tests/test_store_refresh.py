@@ -42,6 +42,26 @@ def test_missing_tables_are_empty(spark, tmp_path):
     assert all(t.count() == 0 for t in sources.read_facts(spark, str(tmp_path)).values())
     assert all(t.count() == 0 for t in sources.read_dump(spark, str(tmp_path)).values())
     assert sources.scan_dump(spark, str(tmp_path)).count() == 0
+    assert sources.scan_slices(spark, str(tmp_path)).count() == 0
+
+
+def test_folders_and_rows_give_the_same_slices(spark, tmp_path):
+    rate = frames.rate(spark, {}, {"Year_Month": "202412"}, {"State_Name": "AZ"})
+    sources.write_facts({"rate": rate}, str(tmp_path))
+    expected = [("AZ", "202501"), ("IL", "202412"), ("IL", "202501")]
+    assert [tuple(r) for r in sources.scan_slices(spark, str(tmp_path)).collect()] == expected
+    assert [tuple(r) for r in months.discover_state_months(rate).collect()] == expected
+
+
+def test_other_stored_types_are_converted(spark, tmp_path):
+    rate = frames.rate(spark, {"TotalPremium": "12.34"}).withColumns({
+        "RatedDate": F.to_timestamp(F.lit("2025-01-05 10:00:00")), "TotalPremium": F.col("TotalPremium").cast("double"),
+    }).drop("AssumedCredit")
+    rate.write.partitionBy("State_Name", "Year_Month").parquet(str(tmp_path / "rate"))
+    table = sources.read_facts(spark, str(tmp_path))["rate"]
+    row = table.first()
+    assert [(f.name, f.dataType) for f in table.schema] == [(f.name, f.dataType) for f in fact_schema("rate")]
+    assert (str(row.RatedDate), float(row.TotalPremium), row.AssumedCredit) == ("2025-01-05", 12.34, None)
 
 
 def test_a_slice_is_fetched_by_partition(facts):

@@ -398,6 +398,10 @@ def oracle_sql() -> dict[str, str]:
     sql["company_top_n"] = f"{UP_TO_CUBE}, f AS ({folded_companies('cube')}), g AS ({regrouped('f')}) SELECT {CUBE_OUT} FROM g"
     sql["county_top_n"] = f"{UP_TO_CUBE}, f AS ({folded_counties('cube')}), g AS ({regrouped('f')}) SELECT {CUBE_OUT} FROM g"
     sql["state_cube"] = f"{UP_TO_STATE} SELECT {CUBE_OUT} FROM scube"
+    sql["merge_folded"] = f"""{UP_TO_STATE}, mixed AS (SELECT * FROM scube WHERE YYYYMM < 202503
+      UNION ALL BY NAME SELECT * FROM cube WHERE YYYYMM >= 202503),
+      m1 AS ({folded_companies('mixed')}), m2 AS ({regrouped('m1')}), m3 AS ({folded_counties('m2')}),
+      m4 AS ({regrouped('m3')}) SELECT {CUBE_OUT} FROM m4"""
     sql["prune_inactive"] = f"{UP_TO_STATE} SELECT {CUBE_OUT} FROM scube WHERE State IN ('IL', 'AZ')"
 
     # catalogue

@@ -198,6 +198,12 @@ def retained_months(spark, sf):
     return plain(months.keep_other_months(cube, cube.where("YYYYMM >= 202503")))
 
 
+def merge_folded(spark, sf):
+    """A folded store of earlier months into which the later months are merged."""
+    folded = _states(spark, sf).where("YYYYMM < 202503")
+    return plain(collapse.merge_folded(folded, _monthly(spark, sf).where("YYYYMM >= 202503"), CONFIG))
+
+
 def missing_months(spark, sf):
     stored = _monthly(spark, sf).where("YYYYMM < 202503")
     return months.missing_months(discover_state_months(spark, sf), stored)
@@ -321,6 +327,7 @@ QUERIES: dict[str, Query] = {
     "company_top_n": lambda spark, sf: plain(collapse.company_top_n(_monthly(spark, sf), CONFIG)),
     "county_top_n": lambda spark, sf: plain(collapse.county_top_n(_monthly(spark, sf), CONFIG)),
     "state_cube": lambda spark, sf: plain(collapse.state_cube(_monthly(spark, sf), CONFIG)),
+    "merge_folded": merge_folded,
     "prune_inactive": lambda spark, sf: plain(months.only_active(_states(spark, sf), CONFIG)),
     "state_index": lambda spark, sf: plain(_index(spark, sf)),
     "upsert_index": upsert_index,
