@@ -32,15 +32,14 @@ def vehicle_age_points(age: Column) -> Column:
     return F.when(age.isNull(), 0).otherwise(known)
 
 
-def age_points(age: Column, state: Column) -> Column:
-    """Points for the named insured's age, by carrier state."""
-    return first_match(
-        [
-            (age.between(low, high), first_match([(state == name, p) for name, p in by_state.items()], 0))
-            for low, high, by_state in fixed.AGE_POINTS
-        ],
-        0,
+def age_points(age: str, state: str) -> Column:
+    """Points for the named insured's age by carrier state, from the two column names."""
+    bands = " ".join(
+        f"WHEN {age} BETWEEN {low} AND {high} THEN CASE {state} "
+        + " ".join(f"WHEN '{name}' THEN {points}" for name, points in by_state.items()) + " END"
+        for low, high, by_state in fixed.AGE_POINTS
     )
+    return F.expr(f"coalesce(CASE {bands} END, 0)")
 
 
 def limits_points(limits: Column) -> Column:
@@ -64,9 +63,7 @@ COMPONENTS = [
 
 def predicted_credit(age: Column, limits: Column, newest_year: Column, rated_year: Column) -> Column:
     """Base score plus the component columns; null where one of the given inputs is missing."""
-    score = F.lit(fixed.CREDIT_BASE)
-    for name in COMPONENTS:
-        score = score + F.col(name)
+    score = F.expr(" + ".join([str(fixed.CREDIT_BASE), *COMPONENTS]))
     complete = age.isNotNull() & limits.isNotNull() & newest_year.isNotNull() & rated_year.isNotNull()
     return F.when(complete, score.cast("int"))
 

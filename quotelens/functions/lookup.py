@@ -18,20 +18,20 @@ def first_match(cases: Iterable[tuple[Column, object]], default: object = None)
 
 def ordering(*columns: str) -> Column:
     """A struct that sorts like the columns do, ascending with nulls last."""
-    parts = []
-    for name in columns:
-        parts += [F.col(name).isNull().alias(f"no_{name}"), F.col(name).alias(name)]
-    return F.struct(*parts)
+    return F.expr("struct(" + ", ".join(f"isnull({c}) AS no_{c}, {c}" for c in columns) + ")")
 
 
-def cents(money: Column | str) -> Column:
+def _cents(money: str) -> str:
+    return f"CAST(rint(CAST({money} AS DOUBLE) * 100) AS BIGINT)"
+
+
+def cents(money: str) -> Column:
     """An amount as whole cents. Sums of these are exact and do not depend on row order.
 
     By way of double, which is quicker than decimal arithmetic and close enough
     to round every amount below 90 trillion back to its cents.
     """
-    column = F.col(money) if isinstance(money, str) else money
-    return F.rint(column.cast("double") * 100).cast("bigint")
+    return F.expr(_cents(money))
 
 
 def dollars(whole_cents: Column) -> Column:
@@ -39,9 +39,9 @@ def dollars(whole_cents: Column) -> Column:
     return whole_cents / F.lit(100.0)
 
 
-def total(money: Column | str) -> Column:
+def total(money: str) -> Column:
     """Exact sum of amounts, 0 for none."""
-    return dollars(F.coalesce(F.sum(cents(money)), F.lit(0)))
+    return F.expr(f"coalesce(sum({_cents(money)}), 0) / 100.0D")
 
 
 def small_table(spark: SparkSession, names: Sequence[str], rows: Iterable[Sequence]) -> DataFrame:

@@ -31,7 +31,7 @@ def with_credit_parts(profile: DataFrame) -> DataFrame:
         "CarrierPoints": credit.carrier_points(F.col("carrier")),
         "DurationPoints": credit.duration_points(F.col("PriorInsurance"), F.col("PriorMonthsCovg")),
         "VehicleAgePoints": credit.vehicle_age_points(F.col("vehicle_age")),
-        "AgePoints": credit.age_points(F.col("NamedInsuredAge"), F.col("carrier")),
+        "AgePoints": credit.age_points("NamedInsuredAge", "carrier"),
         "LimitsPoints": credit.limits_points(F.col("LiabLimits")),
         "VehicleCountPoints": credit.vehicle_count_points(F.col("VehicleCount")),
         "HomeownerPoints": credit.homeowner_points(F.col("ResidencyStatus")),
@@ -111,8 +111,8 @@ def monthly_cube(rate: DataFrame, car: DataFrame, driver: DataFrame, config: Mar
         F.sum("BridgingCount").alias("BridgingCount"),
         dollars(F.sum("BridgingCents")).alias("SumBridgingPremium"),
         *[
-            dollars(F.sum(F.col("QuoteRows") * F.col(total))).alias(f"Sum{c}Premium")
-            for c, total in zip(fixed.COVERAGES, COVERAGE_CENTS)
+            F.expr(f"sum(QuoteRows * {name}) / 100.0D").alias(f"Sum{c}Premium")
+            for c, name in zip(fixed.COVERAGES, COVERAGE_CENTS)
         ],
     )
     return totals.select(*CUBE_KEYS, *MEASURES)

@@ -34,7 +34,7 @@ def vehicle_totals(car: DataFrame) -> DataFrame:
     vehicles = with_liability_label(car).where(F.col("RateLinkID").isNotNull())
     vehicles = vehicles.withColumns({
         "County": bins.clean_county(F.col("County")),
-        **{cents_column: cents(f"{c}Premium") for c, cents_column in zip(fixed.COVERAGES, COVERAGE_CENTS)},
+        **{name: cents(f"{c}Premium") for c, name in zip(fixed.COVERAGES, COVERAGE_CENTS)},
     })
     return (
         vehicles.groupBy(*RATE_LINK)
@@ -43,7 +43,7 @@ def vehicle_totals(car: DataFrame) -> DataFrame:
             F.min(ordering("RateVehicleId", "LiabLimits", "County")).alias("first"),
             F.count("Year").alias("VehicleCount"),
             F.max("Year").alias("Year"),
-            *[F.coalesce(F.sum(cents_column), F.lit(0)).alias(cents_column) for cents_column in COVERAGE_CENTS],
+            *[F.expr(f"coalesce(sum({name}), 0)").alias(name) for name in COVERAGE_CENTS],
         )
         .where(~F.col("invalid"))
         .select(
@@ -56,7 +56,7 @@ def vehicle_totals(car: DataFrame) -> DataFrame:
 
 def car_profile(car: DataFrame) -> DataFrame:
     """One row per valid rate: limits, county, vehicle count, newest year, coverage premiums."""
-    amounts = [dollars(F.col(cents_column)).alias(f"{c}Premium") for c, cents_column in zip(fixed.COVERAGES, COVERAGE_CENTS)]
+    amounts = [dollars(F.col(name)).alias(f"{c}Premium") for c, name in zip(fixed.COVERAGES, COVERAGE_CENTS)]
     return vehicle_totals(car).select(
         *SLICE, "RateId", "LiabLimits", "County", F.col("VehicleCount").alias("NumVehicles"), "Year", *amounts
     )

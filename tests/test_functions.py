@@ -109,7 +109,7 @@ def test_vehicle_age_points(spark):
 def test_age_points(spark):
     rows = [(17, "NO_PC"), (18, "LAPSE"), (45, "NO_LAPSE"), (56, "LAPSE"), (70, "NO_PC"), (71, "LAPSE"), (101, "NO_PC"),
             (None, "NO_PC")]
-    got = values(spark, "a int, s string", rows, credit.age_points(F.col("a"), F.col("s")))
+    got = values(spark, "a int, s string", rows, credit.age_points("a", "s"))
     assert got == [0, -40, 10, -10, 100, 0, 0, 0]
 
 
