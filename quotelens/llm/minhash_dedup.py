@@ -55,6 +55,9 @@ def tables():
     return byte, scale, shift, mix
 
 
+#: Shingles of a very long text that are hashed at a time.
+CHUNK_WORDS = 200_000
+
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2**64)
 
@@ -80,7 +83,11 @@ def shingle_hashes(words: bytes):
     ends = np.flatnonzero(data == 32)
     if not len(ends):
         return np.empty(0, np.uint64)
-    up, down = powers(1 << (len(data)).bit_length())
+    if len(ends) > CHUNK_WORDS + SHINGLE:
+        n, at = len(ends) - SHINGLE + 1, np.concatenate(([0], ends + 1))
+        parts = [words[at[i] : at[min(i + CHUNK_WORDS, n) + SHINGLE - 1]] for i in range(0, n, CHUNK_WORDS)]
+        return np.unique(np.concatenate([shingle_hashes(part) for part in parts]))
+    up, down = powers(1 << len(data).bit_length())
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(tables()[0][data] * up[: len(data)], dtype=np.uint64)))
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(ends) - SHINGLE + 1)
