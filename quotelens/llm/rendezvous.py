@@ -53,7 +53,8 @@ def shard_rows(
     )
     grown = F.lit(None).cast("int") if added_weight is None else choose(F.col("key"), [*weights, added_weight])
     # Crc and size join the cell's hash, so that even rows which repeat one key spread.
-    cell = F.pmod(F.xxhash64("key", "text_crc32", "size"), F.lit(cells)).cast("int")
+    named = F.concat_ws(":", F.coalesce(F.col("key").cast("string"), F.lit("")), F.col("text_crc32"), F.col("size"))
+    cell = F.pmod(F.conv(F.substring(F.md5(named), 1, 8), 16, 10).cast("long"), F.lit(cells)).cast("int")
     rows = rows.select("*", choose(F.col("key"), weights).alias("shard"), grown.alias("grown_shard"), cell.alias("cell"))
     counted = rows.groupBy("shard", "cell").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
