@@ -40,7 +40,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """All documents, with each secret in a text replaced by a mark and n_chars counted anew where it was the length."""
     old_size = F.when(F.length("text") == F.col("n_chars"), True).otherwise(False)
     scanned = secret_scan.redact(docs.withColumn("__counted", old_size), "text")
-    size = F.when("__counted", F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    size = F.when(F.col("__counted"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return scanned.withColumn("n_chars", size).select(*docs.columns)
 
 
