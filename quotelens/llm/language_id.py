@@ -138,15 +138,6 @@ def with_likelihoods(docs: DataFrame, text: str, model: TrigramModel) -> DataFra
     return docs.mapInArrow(run, schema)
 
 
-def softmax(scores: list[Column]) -> list[Column]:
-    top = F.greatest(*scores)
-    parts = [F.exp(s - top) for s in scores]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole + p
-    return [p / whole for p in parts]
-
-
 def evidence_table(rows: DataFrame, model: TrigramModel) -> DataFrame:
     """(host, declared, suffix, other): log of all terms but the text's, as an array by class; stored.
 
@@ -154,17 +145,21 @@ def evidence_table(rows: DataFrame, model: TrigramModel) -> DataFrame:
     """
     k = len(model.classes)
     names = [f"p{i}" for i in range(k)]
-    scores = [F.element_at(EVIDENCE, i + 1) for i in range(k)]
-    says = F.exists(EVIDENCE, lambda x: x != 0)
-    posterior = [F.when(says, p).otherwise(F.lit(0.0)).alias(c) for p, c in zip(softmax(scores), names)]
     own = ["host", "domain", "declared", "suffix"]
+    # Likelihoods relative to the highest, then divided by their sum: the posterior by text alone.
+    relative = rows.where(F.exists(EVIDENCE, lambda x: x != 0)).withColumn("top", F.array_max(EVIDENCE)).select(
+        *own, F.transform(EVIDENCE, lambda x: F.exp(x - F.col("top"))).alias("parts")
+    ).withColumn("whole", F.aggregate("parts", F.lit(0.0), lambda sum, x: sum + x))
+    posterior = [(F.element_at("parts", i + 1) / F.col("whole")).alias(c) for i, c in enumerate(names)]
+    without = rows.where(~F.exists(EVIDENCE, lambda x: x != 0)).select(*own, *[F.lit(0.0).alias(c) for c in names])
     # Sums of doubles depend on their order in the last digits; rounded, they do not.
     counted = stored(
-        rows.select(*own, *posterior).groupBy(own).agg(*[F.round(F.sum(c), 4).alias(c) for c in names]), "languages"
+        relative.select(*own, *posterior).union(without).groupBy(own).agg(*[F.round(F.sum(c), 4).alias(c) for c in names]), "languages"
     )
 
     def sums(by: list[str], mark: str) -> DataFrame:
-        return counted.groupBy(by).agg(*[F.sum(c).alias(f"{mark}{i}") for i, c in enumerate(names)])
+        found = counted.groupBy(by).agg(*[F.sum(c).alias(f"{mark}{i}") for i, c in enumerate(names)])
+        return found.withColumn(f"{mark}_all", sum((F.col(f"{mark}{i}") for i in range(1, k)), F.col(f"{mark}0")))
 
     total = counted.agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in names]).first()
     shares = [(t + 1.0) / (sum(total) + k) for t in total]
@@ -173,13 +168,10 @@ def evidence_table(rows: DataFrame, model: TrigramModel) -> DataFrame:
     every = counted.select(own).join(sums(["domain", "host"], "h"), ["domain", "host"]).join(sums(["domain"], "d"), ["domain"])
     every = every.join(sums(["declared"], "l"), "declared").join(sums(["suffix"], "s"), "suffix")
 
-    def whole(mark: str) -> Column:
-        return sum((F.col(f"{mark}{i}") for i in range(1, k)), F.col(f"{mark}0"))
-
     terms = []
     for i in range(k):
-        domain = (F.col(f"d{i}") + SHRINK * shares[i]) / (whole("d") + SHRINK)
-        host = (F.col(f"h{i}") + SHRINK * domain) / (whole("h") + SHRINK)
+        domain = (F.col(f"d{i}") + SHRINK * shares[i]) / (F.col("d_all") + SHRINK)
+        host = (F.col(f"h{i}") + SHRINK * domain) / (F.col("h_all") + SHRINK)
         declared = (F.col(f"l{i}") + 1) / (total[i] + n_declared)
         suffix = (F.col(f"s{i}") + 1) / (total[i] + n_suffix)
         terms.append(
@@ -219,15 +211,13 @@ def identify(docs: DataFrame, text: str, declared: Column, host: Column, model:
         other = F.broadcast(other)
     keys = [f"__{c}" for c in ("host", "domain", "declared", "suffix")]
     joined = scored.join(other.toDF(*keys, "__other"), keys)
-    scores = [F.element_at(EVIDENCE, i + 1) + F.element_at("__other", i + 1) for i in range(len(model.classes))]
-    posterior = softmax(scores)
-    # The highest; ties go to the first language.
-    best = F.greatest(*[F.struct(p.alias("p"), F.lit(-i).alias("i")) for i, p in enumerate(posterior)]) if len(posterior) > 1 else (
-        F.struct(posterior[0].alias("p"), F.lit(0).alias("i"))
-    )
-    named = F.element_at(F.array(*map(F.lit, model.classes)), 1 - F.col("__best.i"))
+    out = joined.withColumn("__scores", F.zip_with(EVIDENCE, "__other", lambda a, b: a + b))
+    out = out.withColumn("__top", F.array_max("__scores"))
+    # The highest score names the language (the first one of a tie), and its share of all is the confidence.
+    whole = F.aggregate("__scores", F.lit(0.0), lambda sum, x: sum + F.exp(x - F.col("__top")))
+    named = F.element_at(F.array(*map(F.lit, model.classes)), F.array_position("__scores", F.col("__top")).cast("int"))
+    out = out.withColumns({"__language": named, "__confidence": 1 / whole})
     says = F.exists(EVIDENCE, lambda x: x != 0) | (F.col("__declared") != "-")
-    out = joined.withColumn("__best", best).withColumns({"__language": named, "__confidence": F.col("__best.p")})
     accepted = says & (F.col("__language") != UNKNOWN) & (F.col("__confidence") >= LEAST_CONFIDENCE)
     return out.withColumn("__accepted", accepted).select(*inputs, "__language", "__confidence", "__accepted")
 

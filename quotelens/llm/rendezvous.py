@@ -26,12 +26,8 @@ def choose(key: Column, weights: Sequence[float]) -> Column:
     """
     if not weights or min(weights) <= 0:
         raise ValueError("every shard needs a positive weight")
-    scored = [
-        F.struct((F.lit(-float(w)) / F.log(draw(key, i))).alias("score"), F.lit(-i).alias("rank"))
-        for i, w in enumerate(weights)
-    ]
-    best = scored[0] if len(scored) == 1 else F.greatest(*scored)
-    return -best["rank"]
+    scores = F.array(*[F.lit(-float(w)) / F.log(draw(key, i)) for i, w in enumerate(weights)])
+    return F.array_position(scores, F.array_max(scores)).cast("int") - 1
 
 
 def shard_rows(
