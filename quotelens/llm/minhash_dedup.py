@@ -32,7 +32,7 @@ BATCH = 32
 MISS = 1e-6
 #: Buckets of so few classes give all their pairs; larger ones go by a pivot and blocks.
 SMALL_BUCKET = 12
-BLOCK = 128
+BLOCK = 512
 
 SKETCH = "doc_id long, n_shingles long, digest binary, signature binary, bands array<long>"
 
