@@ -34,7 +34,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("quotelens-bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "12g")
-        .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.ui.enabled", "false").config("spark.sql.files.minPartitionNum", cpus).config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}

@@ -61,6 +61,7 @@ TOP_COMPANIES_MAPPED = 5
 TOP_COMPANIES_UNMAPPED = 15
 TOP_COUNTIES = 10
 UNKNOWN_COUNTY = "UNKNOWN"
+UNKNOWN_COMPANY = "UNKNOWN"
 
 # --- pay plans -------------------------------------------------------------
 

@@ -38,7 +38,7 @@ def displayable(index: DataFrame) -> DataFrame:
 
 
 def upsert_index(existing: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Replace the entries of the states in `fresh` and keep the others."""
+    """Replace the entries of the states in `fresh` and keep the others; both have one row per state."""
     return existing.join(F.broadcast(fresh.select("state")), "state", "left_anti").unionByName(fresh)
 
 

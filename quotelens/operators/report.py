@@ -80,7 +80,10 @@ def slice_cube(cube: DataFrame, filters: ReportFilters) -> DataFrame:
 
 
 def clean_discounts(discounts: Mapping[str, float] | None) -> dict[str, float]:
-    """Percent per coverage: at most 100, not a number counts as 0, zeros left out."""
+    """Percent per coverage: at most 100, not a number counts as 0, zeros left out; an unknown coverage is an error."""
+    unknown = set(discounts or {}) - set(fixed.COVERAGES)
+    if unknown:
+        raise ValueError(f"no such coverage: {sorted(unknown)}")
     cleaned = {}
     for coverage in fixed.COVERAGES:
         percent = float((discounts or {}).get(coverage) or 0)
@@ -127,9 +130,15 @@ def companies_of(cube: DataFrame) -> DataFrame:
 
 
 def zero_fill(companies: DataFrame, sums: DataFrame) -> DataFrame:
-    """All companies; those without rows in the slice get zeros."""
-    filled = [F.coalesce(F.col(name), F.lit(0.0)).alias(name) for name in SLICE_SUMS]
-    return companies.join(sums, ["State", "CompanyName"], "left").select("State", "CompanyName", *filled)
+    """All sums of the slice, and zeros for each listed company that has none.
+
+    The list only adds rows: a company that it lacks, as a stale catalogue may, keeps
+    its sums, and so does a company without a name, shown as UNKNOWN_COMPANY.
+    """
+    zeros = companies.select("State", "CompanyName", *[F.lit(0.0).alias(name) for name in SLICE_SUMS])
+    every = sums.select("State", "CompanyName", *SLICE_SUMS).unionByName(zeros)
+    named = F.coalesce("CompanyName", F.lit(fixed.UNKNOWN_COMPANY)).alias("CompanyName")
+    return every.groupBy("State", named).agg(*[F.coalesce(F.sum(name), F.lit(0.0)).alias(name) for name in SLICE_SUMS])
 
 
 def _with_ratios(rows: DataFrame) -> DataFrame:

@@ -105,7 +105,9 @@ def main(argv: list[str] | None = None) -> int:
         return (scan_dump if args.dump else scan_slices)(spark, args.facts)
 
     if args.mode == "discover":
-        month_ops.state_months(discovered()).orderBy("State").show(1000, truncate=False)
+        # One row per state.
+        for row in month_ops.state_months(discovered()).orderBy("State").collect():
+            print(*row, sep="\t")
         return 0
     slices = choose_slices(discovered, store, config, mode=args.mode, state=args.state, months=args.months)
     if not slices:

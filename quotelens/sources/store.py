@@ -45,15 +45,24 @@ class CubeStore:
          .write.partitionBy(*MONTH).mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("compression", "snappy").parquet(path))
 
-    def index(self) -> DataFrame:
-        """Catalogue entries; none if there is no readable catalogue."""
+    def _index_text(self) -> DataFrame | None:
         try:
-            text = self.spark.read.option("wholetext", True).text(self.index_path)
+            return self.spark.read.option("wholetext", True).text(self.index_path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], CATALOGUE_ENTRY)
-        return parse_index(text)
+            return None
+
+    def index(self) -> DataFrame:
+        """Catalogue entries; none if there is no readable catalogue."""
+        text = self._index_text()
+        return self.spark.createDataFrame([], CATALOGUE_ENTRY) if text is None else parse_index(text)
+
+    def index_source(self) -> str | None:
+        """The source that the stored catalogue names."""
+        text = self._index_text()
+        row = None if text is None else text.select(F.get_json_object("value", "$.source")).first()
+        return row and row[0]
 
     def write_index(self, entries: DataFrame, source: str) -> None:
         """Rewrite the catalogue. It is read from the file it replaces, so its
@@ -74,7 +83,7 @@ class CubeStore:
             for state in inactive:
                 self._delete(f"{self.monthly_path}/State={state}")
                 self._delete(f"{self.states_path}/State={state}")
-            self.write_index(entries.where(F.col("state").isin(list(config.active_states))), "pruned")
+            self.write_index(entries.where(F.col("state").isin(list(config.active_states))), self.index_source() or "unknown")
         return removed
 
     def _delete(self, path: str) -> None:

@@ -5,7 +5,7 @@ from types import SimpleNamespace
 import pytest
 
 import __spark_entry__ as contract
-from verification import compare, registry, scratch
+from verification import compare, mapping, registry, scratch
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,19 +22,25 @@ def test_query(spark, connection, name):
 
 
 def test_contract(spark):
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"index_json", "formatted_report"}
+    own = set(registry.QUERIES)
+    assert own <= set(contract.queries()) and own - set(contract.oracle_sql()) == {"index_json", "formatted_report"}
     assert set(contract.oracle_sql()) <= set(contract.queries())
     report = contract.entry(spark)
     assert report.count() > 0 and {"State", "CompanyName", "AvgPremium", "BridgeRate"} <= set(report.columns)
 
 
-def session_stub(master, **conf):
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+class Conf(dict):
+    set = dict.__setitem__
 
 
 def test_shared_folder_is_taken_from_the_session():
-    shared = {"spark.checkpoint.dir": "hdfs:///shared"}
-    assert scratch.scratch_root(session_stub("yarn", **shared)) == "hdfs:///shared"
-    assert scratch.scratch_root(session_stub("local[2]", **shared)) == "hdfs:///shared"
-    with pytest.raises(RuntimeError):
-        scratch.scratch_root(session_stub("yarn"))
+    named = SimpleNamespace(conf=Conf({"spark.checkpoint.dir": "hdfs:///shared"}))
+    assert scratch.scratch_root(named) == "hdfs:///shared"
+    unnamed = SimpleNamespace(conf=Conf())
+    assert scratch.scratch_root(unnamed) == unnamed.conf["spark.checkpoint.dir"]
+
+
+def test_fixture_leaves_the_views_of_the_session(spark):
+    spark.range(3).createOrReplaceTempView("orders")
+    mapping.mapped_facts(spark, "/root/testdata/sf0.001", "rate")
+    assert spark.table("orders").count() == 3

@@ -166,3 +166,18 @@ def test_formatted(spark):
 def test_visible_columns():
     assert report.visible_columns(["SIC", "UIC"], "UIC", "SIC") == report.REPORT_COLUMNS
     assert not {"VsCompareCo", "VsSIC"} & set(report.visible_columns(["7000001"], None, "SIC"))
+
+
+def test_report_keeps_companies_that_the_list_lacks(spark):
+    sums = spark.createDataFrame(
+        [("IL", "A", 5.0, 50.0, 1.0, 9.0), ("IL", None, 2.0, 20.0, 0.0, 0.0)],
+        "State string, CompanyName string, Quotes double, SumPremium double, BridgingCount double, SumBridgingPremium double",
+    )
+    listed = spark.createDataFrame([("IL", "B")], "State string, CompanyName string")
+    filled = {r.CompanyName: r.Quotes for r in report.zero_fill(listed, sums).collect()}
+    assert filled == {"A": 5.0, "UNKNOWN": 2.0, "B": 0.0}
+
+
+def test_unknown_coverage_is_an_error():
+    with pytest.raises(ValueError, match="comp"):
+        report.clean_discounts({"comp": 10})

@@ -145,7 +145,9 @@ def test_prune(spark, facts, tmp_path):
     job.refresh(facts, store, CONFIG, [s for s in slices_of(facts) if s[1] == "202501"])
     assert store.prune_inactive(CONFIG, dry_run=True) == ["TX"]
     assert {r.state for r in store.index().collect()} == {"AZ", "IL", "TX"}
+    source = store.index_source()
     assert store.prune_inactive(CONFIG) == ["TX"]
+    assert source and store.index_source() == source
     for kept in (store.monthly(), store.states(), store.index().withColumnRenamed("state", "State")):
         assert {r.State for r in kept.select("State").distinct().collect()} == {"AZ", "IL"}
     assert store.prune_inactive(CONFIG) == []

@@ -7,6 +7,8 @@ unchanged in Spark SQL and in the oracle, as the head of a longer query.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quotelens.config import MarketConfig
@@ -97,17 +99,12 @@ fx_violation AS (
 SOURCE_TABLES = ["lineitem", "orders", "customer"]
 
 
-def _spread(table: DataFrame) -> DataFrame:
-    """Use all cores on a table that comes in fewer pieces, as a single small file does."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def mapped_facts(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     """The named fact tables (all four by default) over the test tables of one scale factor."""
-    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SOURCE_TABLES}
-    tables["lineitem"] = _spread(tables["lineitem"])
-    # Views are resolved when the query is analysed, so reusing their names is safe.
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
-    return {name: spark.sql(f"{FACTS_SQL} SELECT * FROM fx_{name}") for name in names or FACTS}
+    text = FACTS_SQL
+    for name in SOURCE_TABLES:
+        # Views of the fixture's own, so that a session's views of these names stay. They
+        # are resolved when the query is analysed, so reusing their names is safe.
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(f"quotelens_fixture_{name}")
+        text = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 quotelens_fixture_{name}", text)
+    return {name: spark.sql(f"{text} SELECT * FROM fx_{name}") for name in names or FACTS}

@@ -439,7 +439,7 @@ def oracle_sql() -> dict[str, str]:
     sql["company_metrics"] = f"""{UP_TO_STATE}, {report()} SELECT State, CompanyName, {SUMS_OUT},
       BridgeRate, AvgPremium, AvgBridgingPremium FROM ratios"""
     sql["market_share"] = f"{UP_TO_STATE}, {report()} SELECT State, CompanyName, Quotes, SizePct FROM ratios"
-    sql["company_ranks"] = f"""{UP_TO_STATE}, {report(FILTERED)} SELECT State, CompanyName, WrittenRank, BridgeRank, RankDiff
+    sql["company_ranks"] = f"""{UP_TO_STATE}, {report()} SELECT State, CompanyName, WrittenRank, BridgeRank, RankDiff
       FROM ranked"""
     sql["vs_reference"] = f"""{UP_TO_STATE}, {report()} SELECT State, CompanyName,
       AvgBridgingPremium, VsCompareCo, VsSIC FROM ranked"""

@@ -270,7 +270,7 @@ def market_share(spark, sf):
 
 
 def company_ranks(spark, sf):
-    ranked = report.company_ranks(report.company_metrics(_sums(FILTERED)(spark, sf)))
+    ranked = report.company_ranks(report.company_metrics(_sums()(spark, sf)))
     return ranked.select("State", "CompanyName", "WrittenRank", "BridgeRank", "RankDiff")
 
 

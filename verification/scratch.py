@@ -16,20 +16,17 @@ _stores: dict[tuple[str, str], CubeStore] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where a single machine runs everything."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="quotelens-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    """The folder that the session names as shared; where none is named, as in tests, a new one is named for it."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quotelens-"))
+    return spark.conf.get("spark.checkpoint.dir")
 
 
-def cube_store(spark: SparkSession, sf_dir: str) -> CubeStore:
-    """Monthly and state cube of the mapped facts, written on first use."""
+def cube_store(spark: SparkSession, sf_dir: str, root: str | None = None) -> CubeStore:
+    """Monthly and state cube of the mapped facts, written on first use under `root`, by default the shared folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
-        store = CubeStore(spark, f"{scratch_root(spark)}/quotelens-{uuid.uuid4().hex}")
+        store = CubeStore(spark, f"{root or scratch_root(spark)}/quotelens-{uuid.uuid4().hex}")
         facts = mapped_facts(spark, sf_dir, "rate", "car", "driver")
         store.write_monthly(monthly_cube(facts["rate"], facts["car"], facts["driver"], CONFIG))
         store.write_states(state_cube(store.monthly(), CONFIG))
