@@ -147,14 +147,16 @@ def evidence_table(rows: DataFrame, model: TrigramModel) -> DataFrame:
     names = [f"p{i}" for i in range(k)]
     own = ["host", "domain", "declared", "suffix"]
     # Likelihoods relative to the highest, then divided by their sum: the posterior by text alone.
-    relative = rows.where(F.exists(EVIDENCE, lambda x: x != 0)).withColumn("top", F.array_max(EVIDENCE)).select(
-        *own, F.transform(EVIDENCE, lambda x: F.exp(x - F.col("top"))).alias("parts")
+    says = F.exists(EVIDENCE, lambda x: x != 0)
+    relative = rows.select(*own, says.alias("says"), EVIDENCE, F.array_max(EVIDENCE).alias("top")).select(
+        *own, "says", F.transform(EVIDENCE, lambda x: F.exp(x - F.col("top"))).alias("parts")
     ).withColumn("whole", F.aggregate("parts", F.lit(0.0), lambda sum, x: sum + x))
-    posterior = [(F.element_at("parts", i + 1) / F.col("whole")).alias(c) for i, c in enumerate(names)]
-    without = rows.where(~F.exists(EVIDENCE, lambda x: x != 0)).select(*own, *[F.lit(0.0).alias(c) for c in names])
+    posterior = [
+        F.when(F.col("says"), F.element_at("parts", i + 1) / F.col("whole")).otherwise(0.0).alias(c) for i, c in enumerate(names)
+    ]
     # Sums of doubles depend on their order in the last digits; rounded, they do not.
     counted = stored(
-        relative.select(*own, *posterior).union(without).groupBy(own).agg(*[F.round(F.sum(c), 4).alias(c) for c in names]), "languages"
+        relative.select(*own, *posterior).groupBy(own).agg(*[F.round(F.sum(c), 4).alias(c) for c in names]), "languages"
     )
 
     def sums(by: list[str], mark: str) -> DataFrame:
