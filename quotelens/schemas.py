@@ -39,6 +39,16 @@ VIOLATION = _struct(RateDriverLinkId=T.LongType(), AtFault=T.IntegerType())
 
 FACTS = {"rate": RATE, "car": CAR, "driver": DRIVER, "violation": VIOLATION}
 
+#: Columns that every stored file must have. A fact without one of them would drop out, or count wrongly, in silence;
+#: any other column that a file lacks is null there.
+NEEDED = {
+    "rate": ["PolicyLinkID", "RateId", "CompanyId", "RateIteration", "RatedDate", "TotalPremium", "DownPayment",
+             "PercentDown", "NumOfPayments", "Purchased"],
+    "car": ["RateLinkID", "RateVehicleId", "LiabLimits1", "LiabLimits2", "Year"],
+    "driver": ["RateLinkID", "RateDriverId"],
+    "violation": ["RateDriverLinkId", "AtFault"],
+}
+
 
 def fact_schema(table: str) -> T.StructType:
     """Columns of a fact table followed by its two partition columns."""

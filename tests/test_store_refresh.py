@@ -232,3 +232,58 @@ def test_top_stats_and_selectors(spark):
     choices = catalog.selector_values()
     assert choices["premium"][0] == 0 and choices["premium"][-1] == 5500 and len(choices["premium"]) == 12
     assert choices["credit"][0] == 600 and choices["credit"][-1] == 1750 and choices["num_vehicles"][-1] == "5+"
+
+
+def write_slices(frame, folder, slices):
+    """Each slice as it is stored, with types and columns of its own."""
+    for (state, month), columns in slices.items():
+        frame.select(*columns).write.parquet(f"{folder}/State_Name={state}/Year_Month={month}")
+
+
+@pytest.mark.parametrize("dump", [False, True])
+def test_slices_of_other_types_and_columns_are_read_together(spark, tmp_path, dump):
+    from quotelens import fixed_values as fixed
+    driver = frames.driver(spark, {"Age": 41}, {"Age": None, "RateLinkID": 2}).drop("State_Name", "Year_Month")
+    whole = driver.columns
+    ways = {
+        ("AZ", "202501"): [F.col("Age").cast("double").alias("Age") if c == "Age" else c for c in whole],
+        ("IL", "202501"): [F.col("Age").cast("long").alias("Age") if c == "Age" else c for c in whole],
+        ("IL", "202502"): [c for c in whole if c != "Age"],
+    }
+    if dump:
+        table = fixed.DUMP_TABLES["driver"]
+        (tmp_path / table).mkdir()
+        for (state, month), columns in ways.items():
+            import pyarrow.parquet as pq
+            pq.write_table(driver.select(*columns).toArrow(), tmp_path / table / f"{table}_{state}_{month}.parquet")
+        read = sources.read_dump(spark, str(tmp_path))["driver"]
+    else:
+        write_slices(driver, tmp_path / "driver", ways)
+        read = sources.read_facts(spark, str(tmp_path))["driver"]
+    assert [(f.name, f.dataType) for f in read.schema] == [(f.name, f.dataType) for f in fact_schema("driver")]
+    found = sorted((r.State_Name, r.Year_Month, r.RateLinkID, r.Age) for r in read.collect())
+    assert found == [("AZ", "202501", 1, 41), ("AZ", "202501", 2, None), ("IL", "202501", 1, 41),
+                     ("IL", "202501", 2, None), ("IL", "202502", 1, None), ("IL", "202502", 2, None)]
+    assert read.where(sources.in_slices([("IL", "202501")])).count() == 2
+
+
+def test_a_needed_column_that_one_slice_lacks_is_an_error(spark, tmp_path):
+    rate = frames.rate(spark, {}).drop("State_Name", "Year_Month")
+    write_slices(rate, tmp_path / "rate", {
+        ("AZ", "202501"): rate.columns, ("IL", "202501"): [c for c in rate.columns if c != "PercentDown"]})
+    with pytest.raises(ValueError, match="IL.*PercentDown"):
+        sources.read_facts(spark, str(tmp_path))
+
+
+def test_every_table_prunes_partitions(facts):
+    for name, table in facts.items():
+        plan = sources.fetch_table(table, name, "IL", "202501")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(State_Name" in plan, plan
+
+
+def test_discovery_in_a_database_is_one_statement():
+    assert sources.discovery_query() == (
+        "SELECT DISTINCT RTRIM(State_Name) AS State_Name, RTRIM(Year_Month) AS Year_Month FROM dbo.fact_Rate")
+    assert sources.discovery_query("x", 1).endswith("FROM x.fact_Rate TABLESAMPLE (1 PERCENT)")
+    with pytest.raises(ValueError):
+        sources.discovery_query(sample_percent=0)
