@@ -113,7 +113,9 @@ def company_slice(
     if active:
         kept = 1 - F.try_divide(off(F.col), F.col("SumPremium"))
         bridged = F.col("SumBridgingPremium")
-        purchased = F.sum(F.when(ours & (F.col("SumPremium") > 0), kept * bridged).otherwise(bridged))
+        # Each row at a fixed scale, so that the sum does not depend on their order.
+        amount = F.when(ours & (F.col("SumPremium") > 0), kept * bridged).otherwise(bridged)
+        purchased = F.sum(amount.cast("decimal(28,10)")).cast("double")
         # A grouping key decides who is discounted, so any row of the group can tell.
         written = written - F.when(F.max(ours), off(total)).otherwise(F.lit(0.0))
     return sliced.groupBy("State", "CompanyName").agg(

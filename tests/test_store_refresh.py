@@ -140,6 +140,36 @@ def test_choice_of_slices(spark, facts, tmp_path):
             job.choose_slices(discovered, store, CONFIG, **wrong)
 
 
+def test_dry_run_scans_the_facts_once(spark, facts, tmp_path):
+    stored = CubeStore(spark, str(tmp_path / "a"))
+    wet = job.refresh(facts, stored, CONFIG, [("IL", "202501")])
+    dry = job.refresh(facts, CubeStore(spark, str(tmp_path / "b")), CONFIG, [("IL", "202501")], dry_run=True)
+    assert dry.cube_rows == wet.cube_rows
+    assert not list(spark.sparkContext._jsc.getPersistentRDDs())
+
+
+def test_a_dump_gives_all_its_states(spark, facts, tmp_path):
+    store = CubeStore(spark, str(tmp_path))
+    discovered = lambda: months.discover_state_months(facts["rate"])
+    every = job.choose_slices(discovered, store, CONFIG, mode="all", active_only=False)
+    assert every == slices_of(facts) and "TX" in {s for s, _ in every}
+    two = job.choose_slices(discovered, store, CONFIG, mode="state", state=["TX", "AZ"])
+    assert two == [s for s in every if s[0] in ("AZ", "TX")]
+
+
+@pytest.mark.parametrize("wrong", [
+    ["--store", "x"], ["--facts", "x", "--jdbc", "y", "--store", "z"], ["--jdbc", "y", "--dump", "--store", "z"],
+    ["--facts", "x", "--sample", "1", "--store", "z"]])
+def test_sources_of_the_command_line(wrong):
+    with pytest.raises(SystemExit):
+        job.main(wrong)
+
+
+def test_sampled_discovery_finds_no_other_slices(facts):
+    found = {tuple(r) for r in months.discover_state_months(facts["rate"], sample_percent=50).collect()}
+    assert found and found <= set(slices_of(facts))
+
+
 def test_prune(spark, facts, tmp_path):
     store = CubeStore(spark, str(tmp_path))
     job.refresh(facts, store, CONFIG, [s for s in slices_of(facts) if s[1] == "202501"])
