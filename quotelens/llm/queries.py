@@ -10,6 +10,9 @@ from quotelens.llm import (
     brown_lm, decontamination, language_id, licence_scan, minhash_dedup, packing, projection_dedup, rendezvous, secret_scan,
     token_counts,
 )
+from quotelens.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": licence_scan.op1_licence_scan,
@@ -23,5 +26,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_projection_dedup": projection_dedup.op10_projection_dedup,
 }
-
-ORACLE_SQL: dict[str, str] = {}
