@@ -3,8 +3,10 @@
 import random
 import subprocess
 import sys
+from collections import Counter
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -60,6 +62,16 @@ def test_registered_queries():
     assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 11))
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql_twins(spark, name):
+    folder, connection = "/root/testdata/sf0.001", duckdb.connect()
+    for table in ("documents", "benchmark", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
+    rows = queries.QUERIES[name](spark, folder)
+    twin = connection.execute(f"SELECT {', '.join(rows.columns)} FROM ({queries.ORACLE_SQL[name]})").fetchall()
+    assert Counter(map(tuple, rows.collect())) == Counter(twin)
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage on all its predecessor kept, decisions against plain Python."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
