@@ -2,15 +2,18 @@
 
 Each pass orders the vectors lexicographically by concatenated random hashes (signs of
 random projections), cuts the order into blocks and compares each block with itself and
-the next, so every vector meets a bounded window of neighbours. Verified pairs connect
-vectors; the union over all passes gives the components. Links are then counted
-exactly inside the components.
+the next, so every vector meets a bounded window of neighbours. How many signs single out
+a vector's window is measured in each pass. Vectors for which the passes so far leave more
+than MISS go on among themselves: in further passes, or compared with each other outright.
+Verified pairs connect vectors; the union over all passes gives the components. Links are
+then counted exactly inside the components.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,16 +27,25 @@ COSINE = 0.95
 BLOCK = 512
 #: Signs that make a key; the first ones decide who are neighbours, the others order dense groups.
 BITS = 48
-#: Probability that no pass brings a pair of cosine COSINE together, if keys spread evenly.
+#: Probability, by the measured keys, that no pass brings a vector together with one at cosine COSINE.
 MISS = 1e-5
+#: Vectors of each side of a unit where vectors are compared outright.
+UNIT = 4096
+#: Passes that one round adds at most.
+ROUND = 64
 #: Room for rounding in the bounds that need no comparison.
 MARGIN = 1e-6
 
 
+def same_sign() -> float:
+    """Probability that two vectors at cosine COSINE share a sign: at angle a it is 1 - a / pi."""
+    return 1 - math.acos(COSINE) / math.pi
+
+
 def passes_needed(n: int) -> int:
-    """Passes for `n` vectors: two at angle a share a sign with probability 1 - a / pi, and k signs single out a block."""
+    """Passes to begin with for `n` vectors: as many as they need if k signs single out a block; see `open_vectors`."""
     k = max(1, math.ceil(math.log2(max(n, 2) / BLOCK)))
-    together = (1 - math.acos(COSINE) / math.pi) ** k
+    together = same_sign() ** k
     return max(2, math.ceil(math.log(MISS) / math.log(1 - together)))
 
 
@@ -72,8 +84,8 @@ def reader(kind: str):
     return run
 
 
-def keyer(passes: int, kind: str):
-    """cls and a key for each pass; the planes depend only on the vectors' length and the pass."""
+def keyer(passes: int, number: int, kind: str):
+    """cls and a key for each pass; the planes depend only on the vectors' length, the round's number and the pass."""
     import numpy as np
     import pyarrow as pa
 
@@ -82,7 +94,7 @@ def keyer(passes: int, kind: str):
     def keys(rows):
         d = rows.shape[1]
         if d not in planes:
-            planes[d] = np.random.Generator(np.random.PCG64(d)).standard_normal((passes, d, BITS))
+            planes[d] = np.random.Generator(np.random.PCG64([d, number] if number else d)).standard_normal((passes, d, BITS))
         weights = (1 << np.arange(BITS - 1, -1, -1)).astype(np.int64)
         return np.stack([((rows @ p) > 0) @ weights for p in planes[d]], axis=1)
 
@@ -118,9 +130,9 @@ def window_linker(kind: str):
             at = np.flatnonzero(lengths == size)
             rows = matrix(pa.array([data[i] for i in at], pa.binary()), kind)
             mine = np.flatnonzero(own[at])
-            near = rows[mine] @ rows.T >= COSINE
             label = np.arange(len(at))
-            for i, row in zip(mine.tolist(), near):
+            compared = (zip(part.tolist(), rows[part] @ rows.T >= COSINE) for part in np.split(mine, range(BLOCK, len(mine), BLOCK)))
+            for i, row in chain.from_iterable(compared):
                 labels, first = np.unique(label[row], return_index=True)
                 others = labels != label[i]
                 if others.any():
@@ -133,16 +145,15 @@ def window_linker(kind: str):
     return run
 
 
-def windows(classes: DataFrame, kind: str) -> DataFrame:
-    """Rows (pass, block, own, cls, vec): each class in its block, and once more as a neighbour of the one before."""
-    passes = passes_needed(classes.count())
-    keyed = classes.select("cls", "vec").mapInArrow(keyer(passes, kind), "cls long, keys array<long>")
+def ranks(rows: DataFrame, passes: int, number: int, kind: str) -> DataFrame:
+    """(pass, cls, key, block) of every row and pass, blocks in the order of keys."""
+    keyed = rows.select("cls", "vec").mapInArrow(keyer(passes, number, kind), "cls long, keys array<long>")
     keyed = keyed.select("cls", F.posexplode("keys").alias("pass", "key"))
     # Ranks in the order of all keys: place in the sorted partition plus what the lower ones hold.
     order = ["pass", "key", "cls"]
     placed = stored(
         keyed.repartitionByRange(*order).sortWithinPartitions(*order).select(
-            "pass", "cls", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")
+            "pass", "cls", "key", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")
         ),
         "order",
     )
@@ -151,11 +162,85 @@ def windows(classes: DataFrame, kind: str) -> DataFrame:
         "pass", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift")
     )
     ranked = placed.join(starts, ["pass", "part"]).withColumn("block", F.expr(f"(place + shift) div {BLOCK}"))
-    ranked = ranked.join(classes.select("cls", "vec"), "cls")
+    return ranked.select("pass", "cls", "key", "block")
+
+
+def windows(ranked: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows (pass, block, own, cls, vec): each class in its block, and once more as a neighbour of the one before."""
+    ranked = ranked.join(rows.select("cls", "vec"), "cls")
     both = F.expr("array(struct(block as block, true as own), struct(block - 1 as block, false as own))")
     return ranked.select("pass", "cls", "vec", F.explode(both).alias("at")).select("pass", "at.block", "at.own", "cls", "vec")
 
 
+def open_vectors(ranked: DataFrame, rows: DataFrame, passes: int) -> DataFrame:
+    """(cls, vec, miss, more): rows whose log probability `miss` of not meeting a neighbour exceeds MISS; `more` passes would do.
+
+    A vector meets all of its block and of the two beside it. So it meets each vector that
+    shares as many signs as tell it from the last key before those blocks and the first one after.
+    """
+    ends = ranked.groupBy("pass", "block").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    under = ends.select("pass", (F.col("block") + 2).alias("block"), F.col("high").alias("under"))
+    over = ends.select("pass", (F.col("block") - 2).alias("block"), F.col("low").alias("over"))
+    edges = ends.select("pass", "block").join(under, ["pass", "block"], "left").join(over, ["pass", "block"], "left")
+
+    def shared(other: str):
+        """Signs shared with the key and one more; none are needed where there is no such key."""
+        apart = F.col("key").bitwiseXOR(F.col(other))
+        return F.when(F.col(other).isNull(), 0).when(apart == 0, BITS + 1).otherwise(BITS + 1 - F.length(F.bin(apart)))
+
+    needed = F.greatest(shared("under"), shared("over"))
+    together = F.when(needed <= BITS, F.pow(F.lit(same_sign()), needed)).otherwise(0.0)
+    log = F.log(F.greatest(1 - together, F.lit(1e-300)))
+    added = ranked.join(edges, ["pass", "block"]).groupBy("cls").agg(F.sum(log).alias("added"))
+    left = rows.join(added, "cls").select("cls", "vec", (F.col("miss") + F.col("added")).alias("miss"), "added")
+    more = F.coalesce((F.lit(math.log(MISS)) - F.col("miss")) * passes / F.nullif("added", F.lit(0.0)), F.lit(1e9))
+    return left.select("cls", "vec", "miss", more.alias("more")).where(F.col("miss") > math.log(MISS))
+
+
+def every_pair(rest: DataFrame, n_rest: int, rows: DataFrame, n: int) -> DataFrame:
+    """Rows (i, j, own, cls, vec) of units that bring each of `rest` together with each of `rows`."""
+    i, j = -(-n_rest // UNIT), -(-n // UNIT)
+
+    def dealt(df: DataFrame, own: bool, mine: str, of: int, other: str, others: int) -> DataFrame:
+        at = df.select("cls", "vec", F.lit(own).alias("own"), F.expr(f"cast(pmod(xxhash64(cls), {of}) as int)").alias(mine))
+        return at.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1)))).select("i", "j", "own", "cls", "vec")
+
+    return dealt(rest, True, "i", i, "j", j).union(dealt(rows, False, "j", j, "i", i))
+
+
+def near_pairs(classes: DataFrame, kind: str) -> DataFrame:
+    """(a, b) of verified pairs that connect all components; a pair with one vector that is not open needs no more passes.
+
+    Pairs inside a component change nothing, so what is open is done once it is all in one.
+    Where passes would take more comparisons, open vectors outside the largest component are
+    compared with all open ones.
+    """
+    linker, schema = window_linker(kind), "a long, b long"
+    rows, passes, number = classes.select("cls", "vec", F.lit(0.0).alias("miss")), passes_needed(classes.count()), 0
+    found = None
+    while True:
+        ranked = ranks(rows, passes, number, kind)
+        new = stored(windows(ranked, rows).groupBy("pass", "block").applyInArrow(linker, schema), "links")
+        found = found.union(new) if found is not None else new
+        rows = stored(open_vectors(ranked, rows, passes), "open")
+        n, more = rows.agg(F.count("*"), F.percentile_approx("more", 0.5)).first()
+        if not n:
+            return found
+        rest, n_rest = rows, n
+        if n > UNIT:
+            labels = components(found).toDF("cls", "comp")
+            labelled = rows.join(labels, "cls", "left").select("cls", "vec", F.coalesce("comp", "cls").alias("comp"))
+            largest = labelled.groupBy("comp").count().orderBy(F.desc("count"), "comp").first()["comp"]
+            rest = stored(labelled.where(F.col("comp") != largest), "rest")
+            n_rest = rest.count()
+        if not n_rest:
+            return found
+        if n_rest <= 2 * BLOCK * more:
+            units = every_pair(rest, n_rest, rows, n)
+            return found.union(stored(units.groupBy("i", "j").applyInArrow(linker, schema), "links"))
+        rows, passes, number = rows.drop("more"), min(max(1, math.ceil(more)), ROUND), number + 1
+
+
 def core_finder(kind: str):
     """Whether a vector is so near its component's pivot that it is linked with every other such one."""
     import numpy as np
@@ -267,8 +352,7 @@ def find_near_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
         ),
         "classes",
     )
-    found = windows(classes, kind).groupBy("pass", "block").applyInArrow(window_linker(kind), "a long, b long")
-    labels = components(stored(found, "links"))
+    labels = components(near_pairs(classes, kind))
     links = link_counts(classes, labels, kind)
     out = read.select("vec_id", "digest").join(classes.select("digest", "cls", "copies"), "digest", "left")
     out = out.join(labels.toDF("cls", "component"), "cls", "left").join(links, "cls", "left")

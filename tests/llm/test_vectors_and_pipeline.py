@@ -49,6 +49,36 @@ def test_near_vectors(spark, monkeypatch, block):
     assert projection_dedup.find_near_vectors(table.limit(0), "vec_id", "embedding").count() == 0
 
 
+def skewed(n_even, n_hot, planted, dimensions=64):
+    """Rows of which some share a direction, and pairs at cosine 0.955 planted among those."""
+    r = np.random.default_rng(3)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    centre = unit(r.normal(size=dimensions))
+    hot = unit(2.0 * centre + unit(r.normal(size=(n_hot, dimensions))))
+    first = hot[:planted]
+    aside = r.normal(size=first.shape)
+    aside = unit(aside - (aside * first).sum(axis=1, keepdims=True) * first)
+    second = 0.955 * first + np.sqrt(1 - 0.955**2) * aside
+    return np.concatenate((hot, second, unit(r.normal(size=(n_even, dimensions)))))
+
+
+@pytest.mark.parametrize("unit", [4096, 100])
+def test_pairs_in_a_group_with_a_common_direction(spark, monkeypatch, unit):
+    monkeypatch.setattr(projection_dedup, "BLOCK", 8)
+    monkeypatch.setattr(projection_dedup, "UNIT", unit, raising=False)
+    vectors = skewed(300, 600, 100)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    near = vectors @ vectors.T >= 0.95
+    comp = np.arange(len(vectors))
+    for _ in range(20):
+        comp = np.where(near, comp[None, :], len(comp)).min(axis=1)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in projection_dedup.find_near_vectors(table, "vec_id", "embedding").collect()}
+    assert [i for i in found if found[i] != (near[i].sum() - 1, comp[i])] == []
+
+
 def test_components(spark):
     r = random.Random(2)
     nodes = r.sample(range(10_000), 400)
