@@ -136,8 +136,60 @@ FROM vectors v LEFT JOIN counted c ON c.a = v.vec_id LEFT JOIN roots r ON r.node
 """
 
 
+PHRASES = rf"""
+WITH
+  pieces AS (
+    SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM (SELECT coalesce(lang, 'und') AS lang, {lowered('text')} AS body FROM documents)
+  ),
+  words AS (
+    SELECT lang, p, unnest(w) AS w1, unnest(range(1, len(w) + 1)) AS i
+    FROM (SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces)
+  ),
+  following AS (
+    SELECT lang, w1, lead(w1) OVER place AS w2, lead(w1, 2) OVER place AS w3
+    FROM words WINDOW place AS (PARTITION BY p ORDER BY i)
+  ),
+  grams AS (
+    SELECT lang, 1 AS k, w1 AS phrase FROM following
+    UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM following WHERE w2 IS NOT NULL
+    UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM following WHERE w3 IS NOT NULL
+  ),
+  counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+  totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY 1),
+  cuts AS (
+    SELECT lang, phrase, f AS a, cut, string_split(phrase, ' ') AS w
+    FROM counts, (VALUES (1), (2)) AS places(cut) WHERE k > 1 AND f >= 10 AND cut < k
+  ),
+  valued AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, c.w, x.f AS l, y.f AS r,
+      (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+    FROM cuts c
+    JOIN counts x ON x.lang = c.lang AND x.k = c.cut AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.k = len(c.w) - c.cut AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')
+  ),
+  candidates AS (
+    SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+  ),
+  inner_pairs AS (
+    SELECT lang, a, array_to_string(w[i:i + 1], ' ') AS phrase
+    FROM candidates, (VALUES (1), (2)) AS places(i) WHERE len(w) = 3
+  ),
+  kept AS (
+    SELECT * FROM candidates c WHERE NOT EXISTS (
+      SELECT 1 FROM inner_pairs p WHERE p.lang = c.lang AND p.phrase = c.phrase AND 100 * p.a >= 50 * c.a)
+  ),
+  ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+  )
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_minhash_near_dedup": NEAR_DOCUMENTS,
     "op8_benchmark_decontamination": CONTAMINATION,
     "op10_projection_dedup": NEAR_VECTORS,
+    "op11_phrase_mining": PHRASES,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quotelens.llm import (
-    brown_lm, decontamination, language_id, licence_scan, minhash_dedup, packing, projection_dedup, rendezvous, secret_scan,
-    token_counts,
+    brown_lm, decontamination, language_id, licence_scan, minhash_dedup, packing, phrase_mining, projection_dedup, rendezvous,
+    secret_scan, token_counts,
 )
 from quotelens.llm.oracle import ORACLE_SQL
 
@@ -25,4 +25,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": decontamination.op8_benchmark_decontamination,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_projection_dedup": projection_dedup.op10_projection_dedup,
+    "op11_phrase_mining": phrase_mining.op11_phrase_mining,
 }
