@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quotelens.llm import (
     brown_lm, decontamination, language_id, licence_scan, minhash_dedup, packing, phrase_mining, projection_dedup, rendezvous,
-    secret_scan, token_counts,
+    secret_scan, token_counts, tree_packing, whitening,
 )
 from quotelens.llm.oracle import ORACLE_SQL
 
@@ -26,4 +26,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_projection_dedup": projection_dedup.op10_projection_dedup,
     "op11_phrase_mining": phrase_mining.op11_phrase_mining,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_tree_packing": tree_packing.op13_tree_packing,
 }

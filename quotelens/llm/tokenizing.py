@@ -40,9 +40,10 @@ def encode_pieces(tokenizer, pieces: list[str]) -> list[list[int]]:
 class Memo:
     """piece -> value for the pieces met; two generations, so that it stays bounded and keeps frequent pieces."""
 
-    def __init__(self, encode, held: dict):
+    def __init__(self, encode, held: dict, size: int = MEMO):
         self.encode = encode
         self.held = held
+        self.size = size
         self.held.setdefault("new", {})
         self.held.setdefault("old", {})
 
@@ -63,7 +64,7 @@ class Memo:
                 part = missing[i : i + 4096]
                 new.update(zip(part, self.encode(part)))
             values = list(map(new.get, pieces))
-            if len(new) > MEMO // 2:
+            if len(new) > self.size // 2:
                 self.held["old"], self.held["new"] = new, {}
         return values
 
@@ -91,6 +92,105 @@ def word_id_bytes(path: str):
     return ids
 
 
+#: Bytes of text that are cut into pieces at a time, and pieces whose ids a worker remembers.
+CHUNK_BYTES, WORD_MEMO = 8_000_000, 1_000_000
+
+
+def word_ids(path: str, end: int):
+    """Texts (UTF-8, in a list) to arrays of their ids, each with the id `end` behind them, for a word_bpe vocabulary.
+
+    The texts of a chunk are cut together, at the places WORD_PIECES cuts, and each
+    distinct piece of the chunk is looked up once. A text longer than a chunk is cut
+    at spaces, where pieces end anyway.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    tokenizer, held = load(path)
+
+    def encode(pieces):
+        return [np.asarray(ids, dtype="<u4").tobytes() for ids in encode_pieces(tokenizer, pieces)]
+
+    memo = Memo(encode, held, WORD_MEMO)
+    blank, stop, single = (np.zeros(256, bool) for _ in range(3))
+    blank[list(b" \n")] = stop[list(b".,!?;:*#$%&|")] = True
+    single[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+
+    def pieces_of(data):
+        """Starts and ends of all pieces."""
+        gap = blank[data]
+        starts = np.flatnonzero(~gap & np.concatenate(([True], gap[:-1])))
+        ends = np.flatnonzero(~gap & np.concatenate((gap[1:], [True]))) + 1
+        # Letters of two bytes are C3 and one of 80 to BF, but for the signs of multiplication and division.
+        lead = np.concatenate(([False], data[:-1] == 0xC3))
+        tail = lead & (data != 0x97) & (data != 0xB7)
+        letter = single[data] | tail
+        letter[:-1] |= tail[1:]
+        other = np.concatenate((np.flatnonzero(~letter), [len(data)]))
+        first = other[np.searchsorted(other, starts)]
+        cut = (first > starts) & (first < ends)
+        cut[cut] = stop[data[first[cut]]]
+        starts = np.concatenate((starts, first[cut]))
+        ends = np.concatenate((np.where(cut, first, ends), ends[cut]))
+        order = np.argsort(starts, kind="stable")
+        return starts[order], ends[order]
+
+    def chunk_ids(texts):
+        joined = b"\n".join(texts)
+        data = np.frombuffer(joined, np.uint8)
+        text_ends = np.cumsum([len(t) + 1 for t in texts])
+        if not len(data):
+            return [np.array([end], "<u4") for _ in texts]
+        starts, ends = pieces_of(data)
+        offsets = np.zeros(len(starts) + 1, np.int32)
+        np.cumsum(ends - starts, out=offsets[1:])
+        # Pieces hold everything but blanks.
+        compact = data[~blank[data]]
+        encoded = pa.Array.from_buffers(
+            pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(compact)]
+        ).dictionary_encode()
+        values = memo.lookup(encoded.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(values), "<u4")
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        begins = np.cumsum(sizes) - sizes
+        codes = encoded.indices.to_numpy()
+        n = sizes[codes]
+        upto = np.concatenate(([0], np.cumsum(n)))
+        # Each text's ids lie as many places further as texts end before it.
+        owner = np.searchsorted(text_ends, starts, side="right")
+        found = np.full(upto[-1] + len(texts), end, "<u4")
+        place = np.repeat(owner, n) + np.arange(upto[-1])
+        found[place] = flat[np.repeat(begins[codes] - upto[:-1], n) + np.arange(upto[-1])]
+        borders = upto[np.searchsorted(owner, np.arange(1, len(texts)))] + np.arange(1, len(texts))
+        return np.split(found, borders)
+
+    def long_ids(text):
+        parts, at = [], 0
+        while at < len(text):
+            to = len(text) if len(text) - at <= CHUNK_BYTES else text.find(b" ", at + CHUNK_BYTES)
+            to = len(text) if to < 0 else to
+            parts.append(chunk_ids([text[at:to]])[0][:-1])
+            at = to
+        return np.concatenate([*parts, np.array([end], "<u4")])
+
+    def run(texts):
+        waiting, size = [], 0
+        for text in texts:
+            text = text or b""
+            if waiting and size + len(text) > CHUNK_BYTES:
+                yield from chunk_ids(waiting)
+                waiting, size = [], 0
+            if len(text) > CHUNK_BYTES:
+                yield long_ids(text)
+                continue
+            waiting.append(text)
+            size += len(text) + 1
+        if waiting:
+            yield from chunk_ids(waiting)
+
+    return run
+
+
 def byte_counts(path: str):
     """text -> its number of tokens, for a byte_bpe vocabulary."""
     tokenizer, held = load(path)
