@@ -24,15 +24,15 @@ def cutter(tokenizer: str, capacity: int, end: int):
 
     import pyarrow as pa
 
-    from quotelens.llm.tokenizing import word_id_bytes
+    from quotelens.llm.tokenizing import word_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = word_id_bytes(tokenizer)
-        last = end.to_bytes(4, "little")
+        ids_of = word_ids(tokenizer, end)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = memoryview(ids_of(text) + last if text else last)
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for doc, found in zip(batch.column("doc_id").to_pylist(), ids_of(texts)):
+                ids = memoryview(found).cast("B")
                 for i, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc, i, at // 4, len(part) // 4, zlib.crc32(part)))
