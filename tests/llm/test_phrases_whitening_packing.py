@@ -56,6 +56,8 @@ def corpus(seed, docs):
 def test_phrases(spark, monkeypatch, chunk, words, least, top):
     monkeypatch.setattr(phrase_mining, "CHUNK_BYTES", chunk)
     monkeypatch.setattr(phrase_mining, "CHUNK_WORDS", words)
+    monkeypatch.setattr(phrase_mining, "BUCKET_BYTES", 1000 if least == 3 else 12_000_000)
+    monkeypatch.setattr(phrase_mining, "HELD_WINDOWS", words)
     rows = corpus(chunk, 150) + [("", "en"), (None, "en"), (None, None), ("new york " * 400, "fr"), ("  .. \n", "de")]
     rows += [("same same again.", "it")] * 12
     docs = spark.createDataFrame([(i, t, g, "p", 1, "w", 2, 3) for i, (t, g) in enumerate(rows)], SCHEMA)
