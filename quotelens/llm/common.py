@@ -35,6 +35,50 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Links that a task holds at a time.
+FOREST_LINKS = 1_000_000
+
+
+def forester():
+    """Links to those of them that connect something new within a task's blocks of links."""
+    import pyarrow as pa
+
+    def trees(pairs):
+        parent: dict[int, int] = {}
+
+        def root(node):
+            while parent.setdefault(node, node) != node:
+                parent[node] = node = parent[parent[node]]
+            return node
+
+        for a, b in pairs:
+            one, two = root(a), root(b)
+            if one != two:
+                parent[max(one, two)] = min(one, two)
+                yield a, b
+
+    def block(pairs):
+        a, b = zip(*trees(pairs))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches):
+        held: list[tuple[int, int]] = []
+        for batch in batches:
+            held += [(a, b) for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()) if a != b]
+            if len(held) >= FOREST_LINKS:
+                yield block(held)
+                held = []
+        if held:
+            yield block(held)
+
+    return run
+
+
+def forest(links: DataFrame) -> DataFrame:
+    """Stored links (a, b) that connect the same nodes, without those that others of their task make needless."""
+    return stored(links.select("a", "b").where("a != b").mapInArrow(forester(), "a long, b long"), "forest")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of the undirected links (a, b); component is the smallest node reachable.
 

@@ -13,13 +13,14 @@ and only what is not yet connected is compared further, in blocks of bounded siz
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelens.llm.common import components, stored
+from quotelens.llm.common import components, forest, stored
+from quotelens.operators.joins import lookup_join
 
 SHINGLE = 5
 THRESHOLD = (75, 100)
@@ -34,7 +35,7 @@ MISS = 1e-6
 SMALL_BUCKET = 12
 BLOCK = 512
 
-SKETCH = "doc_id long, n_shingles long, digest binary, signature binary, bands array<long>"
+SKETCH = "doc_id long, text_digest binary, n_shingles long, digest binary, signature binary, bands array<long>"
 
 
 def normalised(text: bytes) -> bytes:
@@ -42,17 +43,24 @@ def normalised(text: bytes) -> bytes:
     return b"".join([w + b" " for w in text.lower().split()])
 
 
-@lru_cache(maxsize=None)
+def held() -> dict:
+    """What this process has worked out before. It hangs on a module that every process has, so functions travel without it."""
+    return sys.__dict__.setdefault("_quotelens_minhash", {})
+
+
 def tables():
     """Random constants of the hash functions."""
     import numpy as np
 
+    if "tables" in held():
+        return held()["tables"]
     random = np.random.Generator(np.random.PCG64(20240229))
     byte = random.integers(1, 2**63, 256, np.uint64)
     scale = random.integers(0, 2**31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
     shift = random.integers(0, 2**32, HASHES, np.uint32)
     mix = random.integers(0, 2**62, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
-    return byte, scale, shift, mix
+    held()["tables"] = byte, scale, shift, mix
+    return held()["tables"]
 
 
 #: Shingles of a very long text that are hashed at a time.
@@ -62,14 +70,15 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2**64)
 
 
-@lru_cache(maxsize=None)
 def powers(n: int):
     """Powers of BASE and of its inverse, modulo 2^64."""
     import numpy as np
 
-    both = np.ones((2, n), np.uint64)
-    both[0, 1:], both[1, 1:] = BASE, INVERSE
-    return np.cumprod(both, axis=1, dtype=np.uint64)
+    if "powers" not in held() or held()["powers"].shape[1] < n:
+        both = np.ones((2, n), np.uint64)
+        both[0, 1:], both[1, 1:] = BASE, INVERSE
+        held()["powers"] = np.cumprod(both, axis=1, dtype=np.uint64)
+    return held()["powers"]
 
 
 def shingle_hashes(words: bytes):
@@ -133,15 +142,14 @@ def sketcher():
                 signatures.append(least.tobytes())
                 bands.append(keys)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                [batch.column("doc_id"), batch.column("text_digest"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "digest", "signature", "bands"],
+                names=["doc_id", "text_digest", "n_shingles", "digest", "signature", "bands"],
             )
 
     return run
 
 
-@lru_cache(maxsize=None)
 def fewest_matches(seen: int) -> int:
     """Matches among `seen` values that keep a pair: the posterior of a similar pair is at least MISS.
 
@@ -261,9 +269,11 @@ def block_linker():
     return run
 
 
-def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of the documents with these ids; stored, as it is read several times."""
-    return stored(docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi"), "texts")
+def texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the classes with these ids, each once; stored, as it is read several times."""
+    wanted = classes.join(ids.toDF("cls"), "cls", "left_semi").select("cls", "first.doc_id", "first.text_digest")
+    found = docs.join(wanted, ["doc_id", "text_digest"]).groupBy("cls").agg(F.first("text").alias("text"))
+    return stored(found.withColumnRenamed("cls", "id"), "texts")
 
 
 def bucket_pairs(members: DataFrame) -> DataFrame:
@@ -304,25 +314,33 @@ def block_links(members: DataFrame, labels: DataFrame, signatures: DataFrame, te
     return dealt.groupBy("key", "unit").applyInArrow(block_linker(), "a long, b long")
 
 
+def text_digest(text: str):
+    """Digest of a whole text, a null one as empty."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256), 1, 32))
+
+
 def find_near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row.
+    """doc_id, n_shingles, component_id, kept and text_digest of every row.
 
     A text that is null or without words has no shingles and is linked with nothing. A
     row whose key is null is linked with nothing, has no component and is kept. Rows
-    that repeat a key are one document in links and are each returned.
+    that repeat a key and its text are one document in links and are each returned;
+    rows that give a key another text are linked by that text alone, so its near copies
+    decide about this row and not about the key's other ones.
     """
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), text_digest(text).alias("text_digest"))
     sketches = stored(docs.mapInArrow(sketcher(), SKETCH), "sketches")
-    classes = stored(
-        sketches.where("doc_id is not null and digest is not null").groupBy("digest").agg(
-            F.min("doc_id").alias("cls"), F.first("signature").alias("signature"), F.first("bands").alias("bands")
-        ),
-        "classes",
+    classes = sketches.where("doc_id is not null and digest is not null").groupBy("digest").agg(
+        F.min(F.struct("doc_id", "text_digest")).alias("first"), F.first("signature").alias("signature"),
+        F.first("bands").alias("bands"),
     )
-    # Fewer than two classes in a bucket give no pair.
+    # Classes are named by numbers of their own, as one key may stand before several texts.
+    classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    # Fewer than two classes in a bucket give no pair. A pivot is drawn by the class alone, so that the buckets of a
+    # group of near copies mostly agree on theirs.
     keys = classes.select("cls", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(
-        F.count("*").alias("n"), F.min_by("cls", F.xxhash64("cls", "key")).alias("pivot")
+        F.count("*").alias("n"), F.min_by("cls", F.xxhash64("cls")).alias("pivot")
     ).where("n > 1")
     members = stored(keys.join(buckets, "key"), "members")
     large = members.where(F.col("n") > SMALL_BUCKET)
@@ -333,22 +351,26 @@ def find_near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
         pairs = pairs.join(signatures.toDF(side, f"signature_{side}"), side)
     survivors = stored(pairs.mapInArrow(pruner(), "a long, b long"), "survivors")
     ids = survivors.select(F.explode(F.array("a", "b")).alias("id")).union(large.select("cls")).distinct()
-    texts = texts_of(docs, ids)
+    texts = texts_of(docs, classes, ids)
     both = survivors.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
-    links = stored(both.mapInArrow(verifier(), "a long, b long"), "links")
+    links = forest(both.mapInArrow(verifier(), "a long, b long"))
     labels = components(links)
     more = stored(block_links(large, labels, signatures, texts), "links")
     if more.limit(1).count():
         labels = components(links.union(more))
-    found = sketches.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "cls"), "digest", "left")
-    found = found.join(labels.toDF("cls", "component"), "cls", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "cls", "doc_id"))
+    named = classes.select("digest", "cls", "first.doc_id").join(labels.toDF("cls", "component"), "cls", "left")
+    named = stored(named.select("digest", "doc_id", F.coalesce("component", "cls").alias("component")), "components")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_class = lookup_join(named.select("digest", "component"), least, ["component"], "inner").drop("component")
+    found = sketches.select("doc_id", "text_digest", "n_shingles", "digest").join(of_class, "digest", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return found.select(
         "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "text_digest",
     )
 
 
 def op5_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Near-duplicates among all documents."""
-    return find_near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
+    found = find_near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
+    return found.drop("text_digest")

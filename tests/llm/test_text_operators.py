@@ -77,6 +77,17 @@ def test_near_duplicates(docs, empty):
     assert minhash_dedup.find_near_duplicates(empty, "doc_id", "text").count() == 0
 
 
+def test_a_key_with_two_texts_loses_neither(spark):
+    """Each text of a key is linked by itself; repeated rows count as one document."""
+    rows = [(0, BASE), (1, sentence(20, 120)), (1, BASE + " tail"), (2, sentence(20, 120) + " x"), (3, BASE), (3, BASE), (4, "")]
+    found = minhash_dedup.find_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    sets = {s: i for i, s in enumerate(sorted({len(shingles(t)) for _, t in rows}))}
+    got = sorted((r.doc_id, sets[r.n_shingles], r.component_id, r.kept) for r in found.collect())
+    expected = [(0, BASE, 0, True), (1, rows[1][1], 1, True), (1, rows[2][1], 0, False), (2, rows[3][1], 1, False),
+                (3, BASE, 0, False), (3, BASE, 0, False), (4, "", 4, True)]
+    assert got == sorted((i, sets[len(shingles(t))], c, k) for i, t, c, k in expected)
+
+
 def test_large_group_of_near_copies_is_one_component(spark, monkeypatch):
     """A chain: each text shares enough with the next ones only; buckets are read in blocks."""
     monkeypatch.setattr(minhash_dedup, "SMALL_BUCKET", 3)

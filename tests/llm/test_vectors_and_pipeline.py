@@ -88,6 +88,17 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_forest_connects_the_same_nodes(spark, monkeypatch):
+    r = random.Random(4)
+    monkeypatch.setattr(common, "FOREST_LINKS", 50)
+    rows = [(r.randrange(300), r.randrange(300)) for _ in range(400)] + [(7, i) for i in range(300, 500)] * 3 + [(9, 9)]
+    links = spark.createDataFrame(rows, "a long, b long").repartition(3)
+    thin = common.forest(links)
+    assert thin.count() < links.count() - 200
+    assert sorted(common.components(thin).collect()) == sorted(common.components(links).collect())
+    assert common.forest(links.limit(0)).count() == 0
+
+
 def test_registered_queries():
     assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 11))
 
