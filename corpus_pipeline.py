@@ -20,11 +20,13 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates; of rows that repeat a doc_id, one. Rows without doc_id stay."""
+    """The first document of each group of near-duplicates; of rows alike in doc_id and text, one. Rows without doc_id stay."""
     found = minhash_dedup.find_near_duplicates(docs, "doc_id", "text")
-    first = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").select(*docs.columns)
-    return kept.dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))
+    key = ["doc_id", "__digest"]
+    first = found.where("kept and doc_id is not null").select("doc_id", F.col("text_digest").alias("__digest")).distinct()
+    told = docs.where("doc_id is not null").withColumn("__digest", minhash_dedup.text_digest("text"))
+    kept = told.join(first, key, "left_semi").dropDuplicates(key).select(*docs.columns)
+    return kept.union(docs.where("doc_id is null"))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
