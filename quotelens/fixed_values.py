@@ -139,12 +139,12 @@ NAMED_INSURED_CODE = "I"
 
 DIMENSIONS = [
     "CompanyName", "PremBin", "LiabLimits", "PayPlan", "NonOwner", "NumDrivers",
-    "NumVehicles", "County", "PriorInsurance", "YearBin", "Term", "CreditBin",
+    "NumVehicles", "County", "PriorInsurance", "YearBin", "Term", "CreditBin", "RateSource",
 ]
 
 # --- market providers ------------------------------------------------------
 
-LOADED_PROVIDER = "ITC"             # the provider all rows without RateSource come from
+LOADED_PROVIDER = "ITC"             # the provider of all rows that name none
 PROVIDERS = ["ITC", "EZ Lynx", "Any"]
 
 # --- names of dump files ---------------------------------------------------

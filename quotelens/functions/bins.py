@@ -45,6 +45,11 @@ def vehicle_count_label(count: Column) -> Column:
     return _capped_count(count, fixed.MAX_VEHICLES)
 
 
+def provider(source: Column) -> Column:
+    """The market provider of a quote or cube row; rows from before providers were told apart name none."""
+    return F.coalesce(F.nullif(F.trim(source), F.lit("")), F.lit(fixed.LOADED_PROVIDER))
+
+
 def month_label(month: Column) -> Column:
     """202405 -> 05/2024; anything but six digits is left as it is."""
     text = month.cast("string")

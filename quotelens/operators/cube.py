@@ -1,4 +1,4 @@
-"""The monthly cube: twelve dimensions, thirteen additive measures."""
+"""The monthly cube: thirteen dimensions, thirteen additive measures."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from quotelens.operators.vehicles import COVERAGE_CENTS, vehicle_totals
 from quotelens.schemas import CUBE_KEYS, MEASURES, SLICE
 
 RATE_KEY = ["RateId", *SLICE]
-RATE_DIMENSIONS = ["CompanyName", "PremBin", "PayPlan", "NonOwner", "Term"]
+RATE_DIMENSIONS = ["CompanyName", "PremBin", "PayPlan", "NonOwner", "Term", "RateSource"]
 PROFILE_DIMENSIONS = [
     "LiabLimits", "NumDrivers", "NumVehicles", "County", "PriorInsurance", "YearBin", "CreditBin",
 ]
@@ -86,7 +86,7 @@ def quotes_by_rate(cleaned: DataFrame) -> DataFrame:
     purchased = F.col("PurchasedFinal") == 1
     return (
         cleaned.withColumn("PremBin", bins.premium_bin(F.col("TotalPremium")))
-        .withColumn("NonOwner", F.coalesce("NonOwner", F.lit(0)))
+        .withColumns({"NonOwner": F.coalesce("NonOwner", F.lit(0)), "RateSource": bins.provider(F.col("Rate_Source"))})
         .groupBy(*RATE_KEY, *RATE_DIMENSIONS)
         .agg(
             F.count(F.lit(1)).alias("QuoteRows"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quotelens.config import MarketConfig
+from quotelens.functions.bins import provider
 
 MONTH = ["State", "YYYYMM"]
 
@@ -63,6 +64,12 @@ def union_months(*parts: DataFrame) -> DataFrame:
     return whole
 
 
+def with_provider(cube: DataFrame) -> DataFrame:
+    """Cube rows with their provider; months stored before it was a dimension, and rows without one, have the default."""
+    source = F.col("RateSource") if "RateSource" in cube.columns else F.lit(None).cast("string")
+    return cube.withColumn("RateSource", provider(source))
+
+
 def upsert_months(existing: DataFrame, fresh: DataFrame) -> DataFrame:
     """Replace the months that `fresh` holds and keep the others."""
     return union_months(keep_other_months(existing, fresh), fresh)

@@ -19,11 +19,11 @@ QUOTE = ["PolicyLinkID", "CompanyId", *SLICE, "PayPlan"]
 # the lower premium, then every remaining column so that the pick never depends
 # on the order rows arrive in.
 EARLIEST = [
-    "RateIteration", "TotalPremium", "RateId", "Term", "NonOwner", "RatedDate",
+    "RateIteration", "TotalPremium", "RateId", "Term", "NonOwner", "Rate_Source", "RatedDate",
     "DownPayment", "PercentDown", "NumOfPayments", "Purchased", "AssumedCredit",
 ]
 # The leading part of that order which the cube needs.
-EARLIEST_FOR_CUBE = EARLIEST[:5]
+EARLIEST_FOR_CUBE = EARLIEST[:6]
 
 
 def in_rated_month(rate: DataFrame) -> DataFrame:

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quotelens.config import MarketConfig
 from quotelens.operators import months as month_ops
-from quotelens.operators.catalog import state_index, upsert_index
+from quotelens.operators.catalog import state_index
 from quotelens.operators.collapse import state_cube
 from quotelens.operators.cube import monthly_cube
 from quotelens.sources.facts import (
     Slice, check_slice, discover_jdbc, in_slices, read_dump, read_facts, read_jdbc, scan_dump, scan_slices,
 )
-from quotelens.sources.store import CubeStore
+from quotelens.sources.store import CubeStore, only_states, with_months
 
 Facts = dict[str, DataFrame]
 
@@ -70,30 +70,34 @@ def refresh(
 ) -> RefreshResult:
     """Aggregate all slices in one job, store them, fold the states they touch.
 
-    Only months that produced rows are replaced. A dry run computes everything
-    and writes nothing.
+    Only months that produced rows are replaced. Cubes and catalogue take effect
+    together, when all their files are written. A dry run computes everything and
+    writes nothing.
     """
     wanted = in_slices(slices)
     rate, car, driver = (facts[name].where(wanted) for name in ("rate", "car", "driver"))
     fresh = monthly_cube(rate, car, driver, config)
     touched = sorted({state for state, _ in slices})
+    base = store.snapshot()
+    stored = only_states(base, touched)
     if dry_run:
         # Read several times below, and not stored: kept by the executors, so that the facts are scanned once.
         fresh = fresh.persist(StorageLevel.DISK_ONLY)
         try:
-            whole = month_ops.upsert_months(store.monthly().where(F.col("State").isin(touched)), fresh)
+            whole = month_ops.upsert_months(store.monthly(stored), fresh)
             rows = state_cube(whole, config).count()
         finally:
             fresh.unpersist()
         removed = store.prune_inactive(config, dry_run=True) if prune else []
         return RefreshResult(slices, touched, removed, rows)
-    store.write_monthly(fresh)
-    monthly = store.monthly().where(F.col("State").isin(touched))
-    store.write_states(state_cube(monthly, config))
-    folded = store.states().where(F.col("State").isin(touched))
-    store.write_index(upsert_index(store.index(), state_index(folded, config)), source)
+    months = store.stage("monthly", fresh)
+    whole = store.read("monthly", with_months(stored.monthly, months))
+    states = store.stage("states", state_cube(whole, config))
+    folded = store.read("states", states)
+    rows = folded.count()
+    store.publish(base, monthly=months, states=states, entries=state_index(folded, config), source=source)
     removed = store.prune_inactive(config) if prune else []
-    return RefreshResult(slices, touched, removed, folded.count())
+    return RefreshResult(slices, touched, removed, rows)
 
 
 def main(argv: list[str] | None = None) -> int:

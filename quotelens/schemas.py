@@ -22,7 +22,7 @@ RATE = _struct(
     RateIteration=T.IntegerType(), RatedDate=T.DateType(),
     TotalPremium=MONEY, DownPayment=MONEY, PercentDown=T.DoubleType(),
     NumOfPayments=T.IntegerType(), Purchased=T.IntegerType(), NonOwner=T.IntegerType(),
-    AssumedCredit=T.IntegerType(), Term=T.IntegerType(),
+    AssumedCredit=T.IntegerType(), Term=T.IntegerType(), Rate_Source=T.StringType(),
 )
 CAR = _struct(
     RateLinkID=T.LongType(), RateVehicleId=T.LongType(),

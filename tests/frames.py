@@ -13,7 +13,7 @@ from quotelens.schemas import CUBE, fact_schema
 RATE_DEFAULTS = dict(
     PolicyLinkID=1, RateId=1, CompanyId=7000000, RateIteration=1, RatedDate=date(2025, 1, 5),
     TotalPremium=1200, DownPayment=1200, PercentDown=100.0, NumOfPayments=0, Purchased=0, NonOwner=0,
-    AssumedCredit=1, Term=6, State_Name="IL", Year_Month="202501",
+    AssumedCredit=1, Term=6, Rate_Source="ITC", State_Name="IL", Year_Month="202501",
 )
 CAR_DEFAULTS = dict(
     RateLinkID=1, RateVehicleId=1, LiabLimits1=25, LiabLimits2=50, Year=2022, County="Cook",
@@ -26,7 +26,7 @@ DRIVER_DEFAULTS = dict(
 VIOLATION_DEFAULTS = dict(RateDriverLinkId=1, AtFault=1, State_Name="IL", Year_Month="202501")
 CUBE_DEFAULTS = dict(
     State="IL", YYYYMM=202501, CompanyName="UIC", PremBin=1000, LiabLimits="25/50", PayPlan="Full pay", NonOwner=0,
-    NumDrivers="1", NumVehicles="1", County="COOK", PriorInsurance=1, YearBin="2020+", Term=6, CreditBin=900,
+    NumDrivers="1", NumVehicles="1", County="COOK", PriorInsurance=1, YearBin="2020+", Term=6, CreditBin=900, RateSource="ITC",
     Quotes=1, SumPremium=1000.0, BridgingCount=0, SumBridgingPremium=0.0,
     **{f"Sum{c}Premium": 100.0 for c in fixed.COVERAGES},
 )

@@ -13,7 +13,10 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def facts(spark):
-    return {name: table.cache() for name, table in mapped_facts(spark, SF).items()}
+    cached = {name: table.cache() for name, table in mapped_facts(spark, SF).items()}
+    yield cached
+    for table in cached.values():
+        table.unpersist(blocking=True)
 
 
 def built(facts):

@@ -141,11 +141,21 @@ def test_choice_of_slices(spark, facts, tmp_path):
 
 
 def test_dry_run_scans_the_facts_once(spark, facts, tmp_path):
+    held = lambda: set(spark.sparkContext._jsc.getPersistentRDDs())
+    before, scanned = held(), spark.sparkContext.accumulator(0)
+
+    def tally(batches):
+        for batch in batches:
+            scanned.add(batch.num_rows)
+            yield batch
+
+    watched = facts | {"rate": facts["rate"].mapInArrow(tally, facts["rate"].schema)}
     stored = CubeStore(spark, str(tmp_path / "a"))
     wet = job.refresh(facts, stored, CONFIG, [("IL", "202501")])
     dry = job.refresh(facts, CubeStore(spark, str(tmp_path / "b")), CONFIG, [("IL", "202501")], dry_run=True)
-    assert dry.cube_rows == wet.cube_rows
-    assert not list(spark.sparkContext._jsc.getPersistentRDDs())
+    assert dry.cube_rows == wet.cube_rows and held() == before
+    job.refresh(watched, CubeStore(spark, str(tmp_path / "c")), CONFIG, [("IL", "202501")], dry_run=True)
+    assert scanned.value == facts["rate"].count()
 
 
 def test_a_dump_gives_all_its_states(spark, facts, tmp_path):
@@ -187,7 +197,7 @@ def test_catalogue_document(spark, facts, tmp_path):
     store = CubeStore(spark, str(tmp_path))
     job.refresh(facts, store, CONFIG, [("IL", "202501"), ("TX", "202502")])
     job.refresh(facts, store, CONFIG, [("IL", "202502")])
-    [part] = Path(store.index_path).glob("part-*")
+    [part] = Path(store.index_folder()).glob("part-*")
     document = json.loads(part.read_text())
     assert set(document) == {"generated_at", "source", "states"} and set(document["states"]) == {"IL", "TX"}
     entry = document["states"]["IL"]
@@ -199,8 +209,8 @@ def test_catalogue_document(spark, facts, tmp_path):
 
 def test_broken_catalogue_reads_as_empty(spark, tmp_path):
     store = CubeStore(spark, str(tmp_path))
-    Path(store.index_path).mkdir()
-    (Path(store.index_path) / "part-0").write_text("{broken")
+    Path(store.index_folder()).mkdir()
+    (Path(store.index_folder()) / "part-0").write_text("{broken")
     assert store.index().collect() == []
 
 

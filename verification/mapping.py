@@ -55,7 +55,9 @@ fx_rate AS (
          CASE WHEN o_custkey % 50 = 7 THEN CAST(l_orderkey % 2 AS INT)
               WHEN o_custkey % 10 = 0 THEN 1 WHEN o_custkey % 10 = 1 THEN NULL ELSE 0 END AS NonOwner,
          CASE WHEN o_custkey % 40 = 3 THEN CAST(l_linenumber % 2 AS INT) ELSE 1 END       AS AssumedCredit,
-         CASE WHEN l_linestatus = 'F' THEN 6 ELSE 12 END                      AS Term
+         CASE WHEN l_linestatus = 'F' THEN 6 ELSE 12 END                      AS Term,
+         CASE WHEN l_suppkey % 7 = 0 THEN 'EZ Lynx' WHEN l_suppkey % 7 = 1 THEN NULL WHEN l_suppkey % 7 = 2 THEN ' '
+              WHEN l_suppkey % 7 = 3 THEN ' ITC ' ELSE 'ITC' END              AS Rate_Source
   FROM base JOIN plans p ON p.i = CASE WHEN o_custkey % 2 = 0 THEN l_partkey % 18 ELSE l_partkey % 3 END),
 fx_car AS (
   SELECT CASE c_nationkey % 3 WHEN 0 THEN 'IL' WHEN 1 THEN 'AZ' ELSE 'TX' END AS State_Name,

@@ -10,7 +10,7 @@ from verification.mapping import CONFIG, FACTS_SQL
 
 COVERAGES = ["LiabBI", "LiabPD", "Comp", "Coll", "MedPay", "UIMBI", "UIMPD", "UninsBI", "UninsPD"]
 DIMS = ("CompanyName, PremBin, LiabLimits, PayPlan, NonOwner, NumDrivers, NumVehicles, County, "
-        "PriorInsurance, YearBin, Term, CreditBin")
+        "PriorInsurance, YearBin, Term, CreditBin, RateSource")
 DIM_LIST = DIMS.split(", ")
 COUNTS = ["Quotes", "BridgingCount"]
 MONEY = ["SumPremium", "SumBridgingPremium"] + [f"Sum{c}Premium" for c in COVERAGES]
@@ -73,7 +73,7 @@ def consistent(source: str) -> str:
 
 
 QUOTE_KEY = "State_Name, Year_Month, PolicyLinkID, CompanyId, PayPlan"
-EARLY = ("RateIteration, TotalPremium, RateId, Term, NonOwner, RatedDate, DownPayment, PercentDown, "
+EARLY = ("RateIteration, TotalPremium, RateId, Term, NonOwner, Rate_Source, RatedDate, DownPayment, PercentDown, "
          "NumOfPayments, Purchased, AssumedCredit")
 
 
@@ -148,6 +148,7 @@ scored AS (SELECT *, CASE WHEN State_Name IN ('IL', 'AZ') AND NamedInsuredAge IS
     CAST(865 + CarrierPoints + DurationPoints + VehicleAgePoints + AgePoints + LimitsPoints + VehicleCountPoints
       + HomeownerPoints AS INTEGER) END AS PredictedCredit FROM parts),
 binned AS (SELECT * EXCLUDE (NonOwner), coalesce(NonOwner, 0) AS NonOwner,
+    CASE WHEN trim(Rate_Source) <> '' THEN trim(Rate_Source) ELSE 'ITC' END AS RateSource,
     CAST(floor(CASE WHEN TotalPremium > 5000 THEN 5000 ELSE CAST(TotalPremium AS DOUBLE) END / 500) * 500 AS INTEGER) AS PremBin,
     CASE WHEN DriverCount IS NULL THEN '1' WHEN DriverCount >= 4 THEN '4+' ELSE CAST(DriverCount AS VARCHAR) END AS NumDrivers,
     CASE WHEN VehicleCount >= 5 THEN '5+' ELSE CAST(VehicleCount AS VARCHAR) END AS NumVehicles,
@@ -208,7 +209,8 @@ CUBE_OUT = (f"State, YYYYMM, {DIMS}, CAST(Quotes AS BIGINT) AS Quotes, CAST(Brid
 
 # --- report ----------------------------------------------------------------
 
-DEFAULT_WHERE = "PremBin >= 0 AND PremBin < 5500 AND Term = 6"
+ANY_PROVIDER = "PremBin >= 0 AND PremBin < 5500 AND Term = 6"
+DEFAULT_WHERE = f"{ANY_PROVIDER} AND RateSource = 'ITC'"
 COMPARE = "CASE State WHEN 'IL' THEN 'UIC' WHEN 'AZ' THEN 'SunCoast' END"
 OURS = ("((State = 'IL' AND CompanyName IN ('UIC', 'SIC')) OR (State = 'AZ' AND CompanyName IN ('SunCoast', 'SIC')))")
 
@@ -284,7 +286,7 @@ def report_out(where: str = DEFAULT_WHERE, discounts: dict[str, float] | None =
 
 
 FILTERED = ("YYYYMM >= 202501 AND YYYYMM <= 202503 AND PremBin >= 1000 AND PremBin < 5000 AND Term = 12 "
-            "AND LiabLimits = '50/100' AND NumDrivers = '4+' AND PriorInsurance = 1 AND NonOwner = 0")
+            "AND LiabLimits = '50/100' AND NumDrivers = '4+' AND PriorInsurance = 1 AND NonOwner = 0 AND RateSource = 'ITC'")
 CREDIT_RANGE = f"{DEFAULT_WHERE} AND CreditBin IS NOT NULL AND CreditBin >= 900 AND CreditBin <= 1200"
 ONE_PLAN = f"{DEFAULT_WHERE} AND PayPlan = 'Full pay' AND NumVehicles = '1' AND YearBin = '2020+'"
 WHAT_IF = {"LiabBI": 10, "Comp": 25, "Coll": -15, "UninsPD": 100}
@@ -317,13 +319,16 @@ def oracle_sql() -> dict[str, str]:
 
     # scans
     sql["scan_rate"] = facts(f"""SELECT PolicyLinkID, RateId, CompanyId, RateIteration, CAST(RatedDate AS VARCHAR) AS RatedDate,
-      {dbl('TotalPremium', 'DownPayment')}, PercentDown, NumOfPayments, Purchased, NonOwner, AssumedCredit, Term
+      {dbl('TotalPremium', 'DownPayment')}, PercentDown, NumOfPayments, Purchased, NonOwner, AssumedCredit, Term, Rate_Source
       FROM fx_rate WHERE {SLICE_WHERE}""")
     sql["scan_car"] = facts(f"""SELECT RateLinkID, RateVehicleId, LiabLimits1, LiabLimits2, Year, County, {COVERAGE_OUT}
       FROM fx_car WHERE {SLICE_WHERE}""")
     sql["scan_driver"] = facts(f"""SELECT RateLinkID, RateDriverId, PriorInsurance, Age, Relation, ResidencyStatus,
       PriorMonthsCovg, PriorDaysLapse FROM fx_driver WHERE {SLICE_WHERE}""")
     sql["scan_violation"] = facts(f"SELECT RateDriverLinkId, AtFault FROM fx_violation WHERE {SLICE_WHERE}")
+    for name in ("rate", "car", "driver", "violation"):
+        sql[f"scan_stored_{name}"] = sql[f"scan_{name}"].replace(f"WHERE {SLICE_WHERE}", "").replace(
+            " FROM fx_", ", State_Name, Year_Month FROM fx_").replace("\n      FROM fx_", ", State_Name, Year_Month FROM fx_")
     sql["discover_state_months"] = facts("SELECT DISTINCT State_Name, Year_Month FROM fx_rate ORDER BY ALL")
     sql["state_months"] = facts("""SELECT State_Name AS State,
       array_to_string(list_sort(list(DISTINCT Year_Month)), ',') AS months FROM fx_rate GROUP BY State_Name""")
@@ -350,7 +355,7 @@ def oracle_sql() -> dict[str, str]:
       coalesce(n.Name, CAST(r.CompanyId AS VARCHAR)) AS CompanyName FROM fx_rate r LEFT JOIN names n
       ON n.State_Name = r.State_Name AND n.CompanyId = r.CompanyId""")
     sql["rate_clean"] = f"""{UP_TO_RATE} SELECT {QUOTE_KEY}, CompanyName, PurchasedFinal, RateIteration, RateId, Term,
-      NonOwner, CAST(RatedDate AS VARCHAR) AS RatedDate, {dbl('TotalPremium', 'DownPayment')}, PercentDown,
+      NonOwner, Rate_Source, CAST(RatedDate AS VARCHAR) AS RatedDate, {dbl('TotalPremium', 'DownPayment')}, PercentDown,
       NumOfPayments, Purchased, AssumedCredit FROM clean"""
 
     # vehicles and drivers
@@ -385,7 +390,7 @@ def oracle_sql() -> dict[str, str]:
 
     # cubes
     sql["monthly_cube"] = f"{UP_TO_CUBE} SELECT {CUBE_OUT} FROM cube"
-    older = ", ".join(d for d in DIM_LIST if d not in ("County", "CreditBin"))
+    older = ", ".join(d for d in DIM_LIST if d not in ("County", "CreditBin", "RateSource"))
     sql["union_months"] = f"""{UP_TO_CUBE}, whole AS (
       SELECT State, YYYYMM, {older}, {SUMS} FROM cube WHERE YYYYMM <= 202502 GROUP BY ALL
       UNION ALL BY NAME SELECT * FROM cube WHERE YYYYMM > 202502) SELECT {CUBE_OUT} FROM whole"""
@@ -409,6 +414,7 @@ def oracle_sql() -> dict[str, str]:
     sql["upsert_index"] = f"""{UP_TO_STATE}, fresh AS ({index_out('scube')}),
       old AS ({index_out("(SELECT * FROM scube WHERE YYYYMM < 202503)")})
       SELECT * FROM fresh WHERE state IN ('IL', 'AZ') UNION ALL SELECT * FROM old WHERE state NOT IN ('IL', 'AZ')"""
+    sql["index_after_prune"] = f"SELECT * FROM ({sql['state_index']}) WHERE state IN ('IL', 'AZ')"
     sql["displayable_states"] = f"""{UP_TO_STATE} SELECT DISTINCT State AS state FROM scube WHERE State IN ('IL', 'AZ')"""
     sql["distinct_pay_plans"] = f"""{UP_TO_STATE} SELECT DISTINCT s.State, s.PayPlan, p.ord AS PlanOrder
       FROM scube s JOIN plan_dim p ON p.label = s.PayPlan"""
@@ -430,7 +436,7 @@ def oracle_sql() -> dict[str, str]:
     sql["slice_credit_range"] = f"{UP_TO_STATE} SELECT {CUBE_OUT} FROM scube WHERE {CREDIT_RANGE}"
     sql["slice_provider"] = f"""{UP_TO_STATE}, p AS (SELECT * FROM (VALUES ('ITC'), ('EZ Lynx'), ('Any')) AS v(Provider))
       SELECT p.Provider, count(s.State) AS CubeRows, CAST(coalesce(sum(s.Quotes), 0) AS BIGINT) AS Quotes
-      FROM p LEFT JOIN (SELECT * FROM scube WHERE {DEFAULT_WHERE}) s ON p.Provider <> 'EZ Lynx' GROUP BY p.Provider"""
+      FROM p LEFT JOIN (SELECT * FROM scube WHERE {ANY_PROVIDER}) s ON p.Provider IN ('Any', s.RateSource) GROUP BY p.Provider"""
     sql["company_slice"] = f"{UP_TO_STATE}, {report()} SELECT State, CompanyName, {SUMS_OUT} FROM slice_sums"
     sql["zero_fill_companies"] = f"{UP_TO_STATE}, {report(FILTERED)} SELECT State, CompanyName, {SUMS_OUT} FROM filled"
     sql["discount_what_if"] = f"""{UP_TO_STATE}, {report(DEFAULT_WHERE, WHAT_IF)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -12,9 +13,10 @@ from quotelens.operators import catalog, collapse, cube as cubes, drivers, month
 from quotelens.operators.report import ReportFilters
 from quotelens.functions.lookup import dollars, total
 from quotelens.schemas import COUNT_MEASURES, CUBE_KEYS, MEASURES, SLICE
-from quotelens.sources.facts import fetch_table
+from quotelens.sources.facts import fetch_table, in_slices, read_facts, scan_slices
+from quotelens.sources.store import CubeStore
 from verification.mapping import CONFIG, mapped_facts
-from verification.scratch import cube_store
+from verification.scratch import cube_store, scratch_root, stored_facts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +61,35 @@ def _scan(name: str) -> Query:
     return lambda spark, sf: plain(fetch_table(mapped_facts(spark, sf, name)[name], name, "IL", "202501"))
 
 
+def _scan_stored(name: str) -> Query:
+    """All slices of a stored fact table, each found by its folder."""
+
+    def scan(spark, sf):
+        root = stored_facts(spark, sf)
+        # One row per slice.
+        slices = [tuple(r) for r in scan_slices(spark, root).collect()]
+        return plain(read_facts(spark, root)[name].where(in_slices(slices)))
+
+    return scan
+
+
+def prune_inactive(spark, sf):
+    """A store of all states after its inactive ones were removed."""
+    store = CubeStore(spark, f"{scratch_root(spark)}/quotelens-pruned-{uuid.uuid4().hex}")
+    places = store.stage("states", _states(spark, sf))
+    store.publish(store.snapshot(), states=places, entries=_index(spark, sf), source="parquet")
+    store.prune_inactive(CONFIG)
+    return plain(store.states())
+
+
+def index_after_prune(spark, sf):
+    """The catalogue that such a store is left with, read back from its document."""
+    store = CubeStore(spark, f"{scratch_root(spark)}/quotelens-pruned-{uuid.uuid4().hex}")
+    store.publish(store.snapshot(), states=store.stage("states", _states(spark, sf)), entries=_index(spark, sf))
+    store.prune_inactive(CONFIG)
+    return plain(store.index())
+
+
 def _rate(spark: SparkSession, sf: str) -> DataFrame:
     return mapped_facts(spark, sf, "rate")["rate"]
 
@@ -178,9 +209,9 @@ def _states(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def union_months(spark, sf):
-    """An older part, from before county and credit were dimensions, and a newer one."""
+    """An older part, from before county, credit and provider were dimensions, and a newer one."""
     cube = _monthly(spark, sf)
-    keys = [k for k in CUBE_KEYS if k not in ("County", "CreditBin")]
+    keys = [k for k in CUBE_KEYS if k not in ("County", "CreditBin", "RateSource")]
     older = cube.where("YYYYMM <= 202502").groupBy(*keys).agg(
         *[(F.sum(m) if m in COUNT_MEASURES else total(m)).alias(m) for m in MEASURES])
     return plain(months.union_months(older, cube.where("YYYYMM > 202502")))
@@ -292,6 +323,10 @@ QUERIES: dict[str, Query] = {
     "scan_car": _scan("car"),
     "scan_driver": _scan("driver"),
     "scan_violation": _scan("violation"),
+    "scan_stored_rate": _scan_stored("rate"),
+    "scan_stored_car": _scan_stored("car"),
+    "scan_stored_driver": _scan_stored("driver"),
+    "scan_stored_violation": _scan_stored("violation"),
     "discover_state_months": discover_state_months,
     "state_months": lambda spark, sf: plain(months.state_months(discover_state_months(spark, sf))),
     "active_states": active_states,
@@ -328,7 +363,8 @@ QUERIES: dict[str, Query] = {
     "county_top_n": lambda spark, sf: plain(collapse.county_top_n(_monthly(spark, sf), CONFIG)),
     "state_cube": lambda spark, sf: plain(collapse.state_cube(_monthly(spark, sf), CONFIG)),
     "merge_folded": merge_folded,
-    "prune_inactive": lambda spark, sf: plain(months.only_active(_states(spark, sf), CONFIG)),
+    "prune_inactive": prune_inactive,
+    "index_after_prune": index_after_prune,
     "state_index": lambda spark, sf: plain(_index(spark, sf)),
     "upsert_index": upsert_index,
     "index_json": index_json,

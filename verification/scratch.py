@@ -9,10 +9,12 @@ from pyspark.sql import SparkSession
 
 from quotelens.operators.collapse import state_cube
 from quotelens.operators.cube import monthly_cube
+from quotelens.sources.facts import write_facts
 from quotelens.sources.store import CubeStore
 from verification.mapping import CONFIG, mapped_facts
 
 _stores: dict[tuple[str, str], CubeStore] = {}
+_facts: dict[tuple[str, str], str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -28,7 +30,18 @@ def cube_store(spark: SparkSession, sf_dir: str, root: str | None = None) -> Cub
     if key not in _stores:
         store = CubeStore(spark, f"{root or scratch_root(spark)}/quotelens-{uuid.uuid4().hex}")
         facts = mapped_facts(spark, sf_dir, "rate", "car", "driver")
-        store.write_monthly(monthly_cube(facts["rate"], facts["car"], facts["driver"], CONFIG))
-        store.write_states(state_cube(store.monthly(), CONFIG))
+        months = store.stage("monthly", monthly_cube(facts["rate"], facts["car"], facts["driver"], CONFIG))
+        states = store.stage("states", state_cube(store.read("monthly", months), CONFIG))
+        store.publish(store.snapshot(), monthly=months, states=states)
         _stores[key] = store
     return _stores[key]
+
+
+def stored_facts(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the mapped facts in their stored layout, written on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _facts:
+        root = f"{scratch_root(spark)}/quotelens-facts-{uuid.uuid4().hex}"
+        write_facts(mapped_facts(spark, sf_dir), root)
+        _facts[key] = root
+    return _facts[key]
