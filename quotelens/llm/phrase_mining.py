@@ -24,11 +24,11 @@ BLOCKS = "bucket int, lang string, windows binary"
 WINDOWS = "lang string, w1 string, w2 string, w3 string, f long"
 
 #: Words whose windows a task counts at a time. Three codes below this fit in 64 bits.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_000_000
 #: Bytes of text that a task cuts into words at a time, and of text for each bucket.
-CHUNK_BYTES, BUCKET_BYTES = 8_000_000, 12_000_000
+CHUNK_BYTES, BUCKET_BYTES = 4_000_000, 5_000_000
 #: Windows that a bucket's task holds before it merges equal ones.
-HELD_WINDOWS = 2_000_000
+HELD_WINDOWS = 1_000_000
 
 BLANKS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 
