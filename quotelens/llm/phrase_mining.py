@@ -26,9 +26,9 @@ WINDOWS = "lang string, w1 string, w2 string, w3 string, f long"
 #: Words whose windows a task counts at a time. Three codes below this fit in 64 bits.
 CHUNK_WORDS = 1_000_000
 #: Bytes of text that a task cuts into words at a time, and of text for each bucket.
-CHUNK_BYTES, BUCKET_BYTES = 4_000_000, 5_000_000
+CHUNK_BYTES, BUCKET_BYTES = 4_000_000, 3_000_000
 #: Windows that a bucket's task holds before it merges equal ones.
-HELD_WINDOWS = 1_000_000
+HELD_WINDOWS = 500_000
 
 BLANKS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 
@@ -117,6 +117,8 @@ def window_blocks(buckets: int):
                     texts, langs, size = [], [], 0
         if texts:
             yield sent()
+        # The worker waits for its next task with what it holds.
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -192,6 +194,8 @@ def window_merger(least: int):
                     held = 0
         if key is not None:
             yield final(key[1], parts)
+        parts = []
+        pa.default_memory_pool().release_unused()
 
     return run
 
