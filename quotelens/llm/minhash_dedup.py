@@ -269,11 +269,14 @@ def block_linker():
     return run
 
 
-def texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of the classes with these ids, each once; stored, as it is read several times."""
+def texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
+    """(id, text) of the classes with these ids, each once; stored, as it is read several times.
+
+    Only where rows repeat a key and its text (`repeated`) are there several rows of a class to choose from.
+    """
     wanted = classes.join(ids.toDF("cls"), "cls", "left_semi").select("cls", "first.doc_id", "first.text_digest")
-    found = docs.join(wanted, ["doc_id", "text_digest"]).groupBy("cls").agg(F.first("text").alias("text"))
-    return stored(found.withColumnRenamed("cls", "id"), "texts")
+    found = docs.join(wanted, ["doc_id", "text_digest"]).select(F.col("cls").alias("id"), "text")
+    return stored(found.groupBy("id").agg(F.first("text").alias("text")) if repeated else found, "texts")
 
 
 def bucket_pairs(members: DataFrame) -> DataFrame:
@@ -351,7 +354,8 @@ def find_near_duplicates(docs: DataFrame, key: str, text: str) -> DataFrame:
         pairs = pairs.join(signatures.toDF(side, f"signature_{side}"), side)
     survivors = stored(pairs.mapInArrow(pruner(), "a long, b long"), "survivors")
     ids = survivors.select(F.explode(F.array("a", "b")).alias("id")).union(large.select("cls")).distinct()
-    texts = texts_of(docs, classes, ids)
+    rows = sketches.where("doc_id is not null").groupBy("doc_id", "text_digest").count()
+    texts = texts_of(docs, classes, ids, rows.where("count > 1").limit(1).count() > 0)
     both = survivors.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
     links = forest(both.mapInArrow(verifier(), "a long, b long"))
     labels = components(links)

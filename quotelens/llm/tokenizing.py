@@ -93,7 +93,7 @@ def word_id_bytes(path: str):
 
 
 #: Bytes of text that are cut into pieces at a time, and pieces whose ids a worker remembers.
-CHUNK_BYTES, WORD_MEMO = 8_000_000, 1_000_000
+CHUNK_BYTES, WORD_MEMO = 2_000_000, 400_000
 
 
 def word_ids(path: str, end: int):
