@@ -7,6 +7,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -32,8 +33,13 @@ KEYWORD_PARTS = (b"passw", b"secret", b"token", b"api")
 RUN_CHARACTERS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 RUN = 20
 
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]+)")
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
+#: A token, or its first parts, may stand behind a line end written as backslash and letter.
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?:(?<=\\)[nrt])?([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]+)")
+#: Where a key may begin: the first letters of a DER sequence or of an OpenSSH key, in a line of 32 letters or more.
+KEY_START = re.compile(r"(?:(?<![A-Za-z0-9+/])|(?<=\\n))(?=[A-Za-z0-9+/]{32})(?:M[A-P]|b3BlbnNzaC1rZXktdjEA)")
+LETTERS = re.compile(r"[A-Za-z0-9+/]+")
+#: Line ends within a key, as such or written out once or twice escaped, and the indent of the next line.
+LINE_END = re.compile(r"(?:\r?\n|(?:\\{1,2}r)?\\{1,2}n)[ \t]*")
 HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}")
 
 #: Fixed values of the formats: bytes of a signature by algorithm, first bytes of an OpenSSH key.
@@ -100,7 +106,7 @@ def der_items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] |
 def is_private_key(data: bytes) -> bool:
     """Nested lengths and members of a private key: RSA, EC, PKCS #8 plain or encrypted, OpenSSH."""
     if data.startswith(OPENSSH):
-        return is_openssh(data)
+        return openssh_size(data) == len(data)
     outer = der_item(data, 0, len(data))
     if outer is None or outer[0] != 0x30 or outer[2] != len(data):
         return False
@@ -124,7 +130,8 @@ def is_private_key(data: bytes) -> bool:
     return tags == [0x30, 0x04] and algorithm(items[0]) and items[1][2] - items[1][1] >= 32  # encrypted PKCS #8
 
 
-def is_openssh(data: bytes) -> bool:
+def openssh_size(data: bytes) -> int | None:
+    """Bytes of the OpenSSH key that `data` begins with, if its members fit."""
     at = len(OPENSSH)
 
     def string() -> bytes | None:
@@ -137,12 +144,12 @@ def is_openssh(data: bytes) -> bool:
 
     names = [string(), string(), string()]
     if None in names or at + 4 > len(data):
-        return False
+        return None
     keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
     if not 1 <= keys <= 16 or any(string() is None for _ in range(keys)):
-        return False
+        return None
     private = string()
-    return private is not None and at == len(data) and len(private) % 8 == 0
+    return at if private and len(private) % 8 == 0 else None
 
 
 def key_size(head: bytes) -> int | None:
@@ -157,27 +164,98 @@ def key_size(head: bytes) -> int | None:
     return 2 + n + int.from_bytes(head[2 : 2 + n], "big") if 1 <= n <= 4 else None
 
 
-def base64_key(text: str, start: int, end: int) -> int | None:
-    """End of the private key in base64 that begins at `start`, as its outer length has it; lines may be wrapped."""
-    whole = text[start:end]
-    size = key_size(base64.b64decode(re.sub(r"\s", "", whole[:64])[:32]))
-    if size is None:
+class Lines:
+    """Base64 letters from `start` on, over line ends for as long as lines follow; places of letters by their number."""
+
+    def __init__(self, text: str, start: int):
+        self.text = text
+        self.begins: list[int] = []
+        self.before = [0]
+        at: int | None = start
+        while at is not None and (m := LETTERS.match(text, at)):
+            self.begins.append(m.start())
+            self.before.append(self.before[-1] + m.end() - m.start())
+            self.end = m.end()
+            gap = LINE_END.match(text, m.end())
+            at = gap.end() if gap else None
+
+    def number(self, place: int) -> int:
+        """How many letters stand before `place`, which is a letter's."""
+        line = bisect_right(self.begins, place) - 1
+        return self.before[line] + place - self.begins[line]
+
+    def data(self, first: int, n: int) -> bytes:
+        """What `n` letters from number `first` on encode; of a last odd letter nothing."""
+        parts, line = [], bisect_right(self.before, first) - 1
+        while n > 0 and line < len(self.begins):
+            at = self.begins[line] + first - self.before[line]
+            take = min(n, self.before[line + 1] - first)
+            parts.append(self.text[at : at + take])
+            first, n, line = first + take, n - take, line + 1
+        body = "".join(parts)
+        body = body[: len(body) - (len(body) % 4 == 1)]
+        return base64.b64decode(body + "=" * (-len(body) % 4))
+
+    def place_behind(self, number: int) -> int:
+        line = bisect_left(self.before, number) - 1
+        return self.begins[line] + number - self.before[line]
+
+
+def base64_key(lines: Lines, start: int) -> int | None:
+    """End of the private key whose base64 begins at `start`, as its lengths have it, padding included."""
+    first = lines.number(start)
+    there = lines.before[-1] - first
+    size = key_size(lines.data(first, 32))
+    if size == 0:  # The members of an OpenSSH key tell its length: read on until all are there.
+        reach = 4096
+        while (size := openssh_size(lines.data(first, min(reach, there)))) is None and reach < there:
+            reach *= 4
+    if size is None or (letters := -(-4 * size // 3)) > there or not is_private_key(lines.data(first, letters)[:size]):
         return None
-    needed = 4 * -(-size // 3)
-    seen, at = 0, start
-    for at in range(start, end):
-        if not text[at].isspace():
-            seen += 1
-            if seen == needed:
+    end = lines.place_behind(first + letters)
+    for _ in range(-letters % 4):
+        end += lines.text[end : end + 1] == "="
+    return end
+
+
+def base64_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Private keys in base64, with each line's start tried and the place behind each key found."""
+    at, lines = 0, None
+    while m := KEY_START.search(text, at):
+        start = m.start()
+        if lines is None or start >= lines.end:
+            lines = Lines(text, start)
+        end = base64_key(lines, start)
+        while end:
+            yield start, end
+            start = end
+            # Another key may follow at once, without a line end between.
+            end = base64_key(lines, start) if start < lines.end and LETTERS.match(text, start) else None
+        at = max(start, m.start() + 1)
+
+
+def hex_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Private keys in hex digits, also where one follows another at once."""
+    for m in HEX_BYTES.finditer(text):
+        data = bytes.fromhex(m[0][: len(m[0]) // 2 * 2])
+        at = 0
+        while at < len(data):
+            size = key_size(data[at : at + 32])
+            size = openssh_size(data[at:]) if size == 0 else size
+            if not size or not is_private_key(data[at : at + size]):
                 break
-    if size and seen < needed:
-        return None
-    body = re.sub(r"\s", "", text[start : at + 1])
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-    return at + 1 if is_private_key(data) else None
+            yield m.start() + 2 * at, m.start() + 2 * (at + size)
+            at += size
+
+
+def signed_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Signed tokens; behind parts that are none, the search goes on at the second of them."""
+    at = 0
+    while m := TOKEN.search(text, at):
+        holds = is_signed_token(*m.groups())
+        if holds:
+            yield m.start(1), m.end()
+        at = m.end() if holds else m.start(2)
 
 
 def pattern_spans(text: str) -> list[tuple[int, int, str]]:
@@ -188,17 +266,9 @@ def pattern_spans(text: str) -> list[tuple[int, int, str]]:
 
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """Signed tokens and private keys whose structure holds."""
-    spans = [(*m.span(), "token") for m in TOKEN.finditer(text) if is_signed_token(*m.groups())]
-    for m in BASE64.finditer(text):
-        end = base64_key(text, m.start(), m.end())
-        if end:
-            spans.append((m.start(), end, "key"))
-    for m in HEX_BYTES.finditer(text):
-        data = bytes.fromhex(m[0][: len(m[0]) // 2 * 2])
-        size = key_size(data)
-        if size is not None and is_private_key(data[:size] if size else data):
-            spans.append((m.start(), m.start() + 2 * (size or len(data)), "key"))
-    return spans
+    spans = [(*s, "token") for s in signed_tokens(text)]
+    spans += [(*s, "key") for s in base64_keys(text)]
+    return spans + [(*s, "key") for s in hex_keys(text)]
 
 
 def ordered(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:

@@ -272,6 +272,53 @@ def test_structures_are_confirmed_by_decoding():
     assert confirmed(base64.b64encode(pkcs8[:-5] + b"\xff" * 5).decode()[:-8] + "AAAA") == []
 
 
+def keys_by_trial(text):
+    """Keys in base64 by trial of every start and every end; line ends may be written out."""
+    spans, at = [], 0
+    while at < len(text):
+        end = None
+        fresh = not re.match("[A-Za-z0-9+/]", text[at - 1 : at]) or text[:at].endswith("\\n") or (spans and spans[-1][1] == at)
+        if fresh and re.match("[A-Za-z0-9+/]{32}", text[at:]):
+            for e in range(at + 41, len(text) + 1):
+                body = re.sub(r"(\r?\n|(\\{1,2}r)?\\{1,2}n)[ \t]*", "", text[at:e])
+                if re.fullmatch("[A-Za-z0-9+/]+=*", body) and re.match("[A-Za-z0-9+/=]", text[e - 1]) and len(body) % 4 == 0:
+                    if secret_scan.is_private_key(base64.b64decode(body)):
+                        end = e
+                        break
+        if end:
+            spans.append((at, end))
+        at = end or at + 1
+    return spans
+
+
+def test_keys_among_other_lines():
+    """Lists of keys, keys below other lines, written-out line ends, indents, keys without a line end between."""
+    r = random.Random(3)
+    ed = lambda: der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, der(4, r.randbytes(32))))
+    string = lambda b: len(b).to_bytes(4, "big") + b
+    ssh = secret_scan.OPENSSH + b"".join(map(string, (b"none", b"none", b""))) + (1).to_bytes(4, "big") + string(r.randbytes(51)) + string(r.randbytes(136))
+    ec = der(0x30, der(2, b"\1") + der(4, r.randbytes(32)))
+    code = lambda b: base64.b64encode(b).decode()
+    three = [code(ed()) for _ in range(3)]
+    assert {len(k) for k in three} == {64} and secret_scan.is_private_key(ssh)
+    sha = r.randbytes(20).hex()
+    wrapped = lambda b, end: end.join(re.findall(".{1,44}", code(b)))
+    texts = {
+        "\n".join(three): 3, "".join(three): 3, "\r\n".join(three) + "\r\n": 3, sha + "\n" + three[0]: 1,
+        three[0] + "\n" + sha + "\n" + three[1]: 2, '{"key": "-----BEGIN-----\\n' + wrapped(ssh, "\\n") + '\\n-----END-----\\n"}': 1,
+        "x\\\\n" + wrapped(ssh, "\\\\n"): 1, "a:\n  " + wrapped(ssh, "\n  ") + "\n  " + three[2]: 2, code(ec): 1, "z" + code(ec): 0,
+        wrapped(ssh, "\n") + "\n" + wrapped(ssh, "\n") + "\n" + three[0]: 3, wrapped(ssh[:-1], "\n"): 0, three[0][:-4]: 0, "MC4C" * 500: 0,
+    }
+    for text, n in texts.items():
+        found = list(secret_scan.base64_keys(text))
+        assert len(found) == n and (found == keys_by_trial(text) or len(text) > 1500), text
+    both = (ed() + ssh + ed()).hex()
+    assert [e - s for s, e in secret_scan.hex_keys("key " + both)] == [96, 2 * len(ssh), 96]
+    url = lambda x: base64.urlsafe_b64encode(x).decode().rstrip("=")
+    token = ".".join([url(json.dumps({"alg": "HS256"}).encode()), url(b'{"sub":"1"}'), url(r.randbytes(32))])
+    assert list(secret_scan.signed_tokens(f"host-name01.{token} a\\n{token}")) == [(12, 12 + len(token)), (16 + len(token), 16 + 2 * len(token))]
+
+
 def test_keywords_match_ascii_letters_only():
     assert not secret_scan.pattern_spans("ſecret=abcdefgh") and secret_scan.pattern_spans("SeCreT='abcdefgh'")
 
