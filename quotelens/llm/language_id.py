@@ -25,10 +25,16 @@ from quotelens.llm.common import stored
 
 UNKNOWN = "und"
 CELLS = 1 << 15
-#: Labelled rows the trigram model is fitted on, about; every row where there are fewer.
+#: Labelled rows the trigram model is fitted on, about, in equal parts by label; every row of a label that has fewer.
 TRAINING_ROWS = 20_000
-#: A label is a language of the model if it marks at least this share of the labelled rows, so there are at most 100.
-LEAST_SHARE = 0.01
+#: A label is a language of the model if it marks at least so many rows and is among the most frequent ones. Rows that
+#: declare another label are accepted as what they declare.
+LEAST_ROWS = 20
+LANGUAGES = 100
+#: Labelled rows are sampled by a hash of so many values.
+HASH_VALUES = 1 << 53
+#: Codes that stand for no one language.
+NO_LANGUAGE = ("und", "mis", "mul", "zxx")
 SMOOTHING = 0.5
 #: Neighbouring trigrams overlap, so each counts for a part.
 TEMPER = 0.3
@@ -71,25 +77,37 @@ class TrigramModel:
 
 
 def primary(code: Column) -> Column:
-    """The primary subtag of a language code, `-` where it has none: at most 27^3 values."""
+    """The primary subtag of a language code, `-` where it names no language: at most 27^3 values."""
     found = F.regexp_extract(F.lower(F.coalesce(code, F.lit(""))), "^([a-z]{2,3})(?:$|[-_])", 1)
-    return F.when(found == "", F.lit("-")).otherwise(found)
+    return F.when(found.isin("", *NO_LANGUAGE), F.lit("-")).otherwise(found)
+
+
+def sampled_parts(sizes: dict[str, int], rows: int) -> dict[str, float]:
+    """Which part of each label's rows makes about `rows` in all, in equal numbers as far as labels have them."""
+    parts = {}
+    for i, (label, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        take = min(n, rows / (len(sizes) - i))
+        parts[label], rows = take / n, rows - take
+    return parts
 
 
 def fit(docs: DataFrame, key: str, text: str, label: str) -> TrigramModel:
-    """A model of the labels, from a sample by the hash of the key."""
+    """A model of the labels, from a sample by the hash of key and text, in which rare labels have their share."""
     import numpy as np
     import pyarrow as pa
 
     rows = docs.where(F.col(text).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("text"), primary(F.col(label)).alias("label")
     ).where("label != '-'")
-    shares = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # at most 27^3
-    total = sum(shares.values())
-    languages = tuple(sorted(x for x, n in shares.items() if n >= LEAST_SHARE * total))
+    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # at most 27^3
+    frequent = sorted((x for x, n in sizes.items() if n >= LEAST_ROWS), key=lambda x: (-sizes[x], x))[:LANGUAGES]
+    languages = tuple(sorted(frequent))
     index = {x: i for i, x in enumerate(languages)}
-    part = min(1.0, TRAINING_ROWS / max(total, 1))
-    sample = rows.where((F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(part * 1_000_000)) & F.col("label").isin(*languages))
+    hashed = F.pmod(F.xxhash64("key", "text"), F.lit(HASH_VALUES))
+    chosen = F.lit(False)
+    for label, part in sampled_parts({x: sizes[x] for x in languages}, TRAINING_ROWS).items():
+        chosen = chosen | ((F.col("label") == label) & (hashed < math.ceil(part * HASH_VALUES)))
+    sample = rows.where(chosen)
 
     def run(batches):
         counts = np.zeros((CELLS, len(index)), np.int64)
@@ -200,9 +218,11 @@ def identify(docs: DataFrame, text: str, declared: Column, host: Column, model:
     """Adds __language, __confidence and __accepted to the rows; other columns stay.
 
     A text that is null or has no letters leaves the decision to the other terms, but
-    is only accepted if a language was declared. Texts are never moved: the other terms
-    reach a row by a join on (host, declared, suffix), which goes to every task while it
-    has at most BROADCAST_ROWS rows and is a shuffle beyond that.
+    is only accepted if a language was declared. The first of equally likely languages
+    counts. A row that declares a language the model does not have is accepted as that
+    language, with no confidence. The other terms reach a row by a join on (host,
+    declared, suffix), which goes to every task while it has at most BROADCAST_ROWS rows;
+    beyond that the rows move with their texts.
     """
     inputs = docs.columns
     parts = {f"__{k}": v for k, v in (host_parts(host) | {"declared": primary(declared)}).items()}
@@ -218,10 +238,14 @@ def identify(docs: DataFrame, text: str, declared: Column, host: Column, model:
     # The highest score names the language (the first one of a tie), and its share of all is the confidence.
     whole = F.aggregate("__scores", F.lit(0.0), lambda sum, x: sum + F.exp(x - F.col("__top")))
     named = F.element_at(F.array(*map(F.lit, model.classes)), F.array_position("__scores", F.col("__top")).cast("int"))
-    out = out.withColumns({"__language": named, "__confidence": 1 / whole})
+    unmodelled = (F.col("__declared") != "-") & ~F.col("__declared").isin(*model.languages)
+    out = out.withColumns({
+        "__language": F.when(unmodelled, F.col("__declared")).otherwise(named),
+        "__confidence": F.when(~unmodelled, 1 / whole),
+    })
     says = F.exists(EVIDENCE, lambda x: x != 0) | (F.col("__declared") != "-")
     accepted = says & (F.col("__language") != UNKNOWN) & (F.col("__confidence") >= LEAST_CONFIDENCE)
-    return out.withColumn("__accepted", accepted).select(*inputs, "__language", "__confidence", "__accepted")
+    return out.withColumn("__accepted", unmodelled | accepted).select(*inputs, "__language", "__confidence", "__accepted")
 
 
 HTML_LANGUAGE = r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]{2,3}(?:[-_][a-z0-9]+)*)"

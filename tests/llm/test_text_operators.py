@@ -379,6 +379,29 @@ def test_language_evidence(spark, empty):
     assert language_id.fit(empty, "doc_id", "text", "lang").languages == ()
 
 
+def test_rare_languages_stay(spark):
+    """A language of half a percent has a model; fewer rows, or another label on pages, are accepted as declared."""
+    r = random.Random(6)
+    vocabulary = {"aa": "bra kel dun mip sorr".split(), "fi": "yksi kaksi kolme nelj\u00e4 viisi".split(), "sv": "bra kel dun mip sorr".split()}
+    row = lambda i, x, declared: (i, " ".join(r.choice(vocabulary[x]) for _ in range(60)), declared, "www.host", 0, 0, "", "")
+    rows = [row(i, "aa", "aa") for i in range(4000)] + [row(5000 + i, "fi", "fi") for i in range(20)]
+    rows += [row(6000 + i, "sv", "sv-SE") for i in range(5)] + [row(7000, "fi", None), row(7001, "aa", "und"), row(None, "fi", "fi"), (7002, "", "xx", None, 0, 0, "", "")]
+    table = spark.createDataFrame(rows, SCHEMA)
+    model = language_id.fit(table, "doc_id", "text", "lang")
+    assert model.languages == ("aa", "fi")
+    found = rows_of(language_id.identify(table, "text", F.col("lang"), F.col("source"), model))
+    assert all(x["__accepted"] for rows in found.values() for x in rows) and sum(map(len, found.values())) == len(rows)
+    assert all(found[5000 + i][0]["__language"] == "fi" for i in range(20)) and found[7000][0]["__language"] == "fi"
+    assert all(found[6000 + i][0]["__language"] == "sv" and found[6000 + i][0]["__confidence"] is None for i in range(5))
+    assert (found[7001][0]["__language"], found[7002][0]["__language"]) == ("aa", "xx")
+
+
+def test_sample_of_labels_at_any_size():
+    parts = language_id.sampled_parts({"a": 10**13, "b": 30, "c": 9000}, 20_000)
+    assert parts["b"] == 1 and parts["c"] == 1 and math.isclose(parts["a"] * 10**13, 20_000 - 9030)
+    assert math.ceil(parts["a"] * language_id.HASH_VALUES) > 0 and language_id.sampled_parts({}, 5) == {}
+
+
 def test_licences(docs, empty):
     negatives = [decontamination.words(sentence(i, 60).encode()) for i in range(200)]
     model = licence_scan.train(negatives)
