@@ -100,7 +100,7 @@ def test_forest_connects_the_same_nodes(spark, monkeypatch):
 
 
 def test_registered_queries():
-    assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
