@@ -6,6 +6,7 @@ import json
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -413,6 +414,71 @@ def test_licences(docs, empty):
     assert found[8][0].n_paragraphs == 0 and len(found[6]) == 2
     held_out = {"This file is licensed under the Apache License, Version 2.0": "apache", "License: CC BY-NC 4.0": "cc-by-nc"}
     for text, family in held_out.items():
-        assert family in licence_scan.classify(model, decontamination.words(text.encode()), model.cues())
+        matches, _ = licence_scan.classify(model, decontamination.words(text.encode()), model.cues())
+        assert {m[3] for m in matches} == {family}
     assert licence_scan.scan(empty, "doc_id", "text", model).count() == 0
     assert licence_scan.scan(empty, "doc_id", "text").count() == 0
+
+
+@pytest.fixture(scope="module")
+def licence_model():
+    return licence_scan.train([decontamination.words(sentence(i, 60).encode()) for i in range(200)])
+
+
+WRAPPED = {
+    "agpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "apache": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-nc": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "gpl": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",
+}
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "// ", "# ", "-- ", "REM ", "dnl ", ";; "])
+@pytest.mark.parametrize("family", WRAPPED)
+def test_wrapped_and_commented_notices(licence_model, family, mark):
+    before, after = sentence(7, 12), sentence(8, 30)
+    body = "\n".join(mark + line for line in textwrap.wrap(WRAPPED[family], 60))
+    for gap in ("\n", "\n" + mark.strip() + "\n"):
+        text = before + gap + body + gap + after
+        n, spans, unconfirmed, top = licence_scan.scan_text(licence_model, licence_model.cues(), text.encode())
+        assert {s[2] for s in spans} == {family} and unconfirmed == 0 and top >= 0.5
+        assert n == (1 if gap == "\n" else 3)
+        assert all(text[a:b] in body and len(text[a:b]) > len(body) / 4 for a, b, _ in spans)
+
+
+def test_several_licences_of_a_paragraph(licence_model):
+    cues = licence_model.cues()
+    for text, families in {
+        "This crate is licensed under either MIT or Apache 2.0 at your option": {"apache", "mit"},
+        "Dual licensed under the MIT and GPL licenses:\nsee the files": {"gpl", "mit"},
+        WRAPPED["mit"] + "\n" + WRAPPED["apache"]: {"apache", "mit"},
+        " ".join([sentence(9, 55), WRAPPED["agpl"], sentence(3, 90), WRAPPED["gpl"]]): {"agpl", "gpl"},
+    }.items():
+        _, spans, _, _ = licence_scan.scan_text(licence_model, cues, text.encode())
+        assert {s[2] for s in spans} == families
+    many = "\n".join(["é " + WRAPPED["isc"], sentence(2, 50)] * 300)
+    n, spans, _, _ = licence_scan.scan_text(licence_model, cues, many.encode())
+    assert n == 1 and len(spans) == 300 and all(many[a:b] == "é " + WRAPPED["isc"] for a, b, _ in spans)
+
+
+def test_licence_probabilities_and_sample(licence_model, spark):
+    found = decontamination.words(WRAPPED["bsd"].encode())
+    score = {c: float(licence_model.bias[i]) for i, c in enumerate(licence_model.classes)}
+    for gram in set(found) | {a + b" " + b for a, b in zip(found, found[1:])}:
+        for i, c in enumerate(licence_model.classes):
+            score[c] += float(licence_model.weights[gram][i]) if gram in licence_model.weights else 0.0
+    raised = {c: math.exp(v / licence_model.temperature) for c, v in score.items()}
+    for c, p in zip(licence_model.classes, licence_model.probabilities(found)):
+        assert p == pytest.approx(raised[c] / sum(raised.values()))
+    rows = [(i, "\n".join(sentence(100 * i + j, 8) for j in range(30))) for i in range(300)]
+    one = licence_scan.sample_negatives(spark.createDataFrame(rows, "k long, t string").repartition(7), "k", "t")
+    two = licence_scan.sample_negatives(spark.createDataFrame(rows[::-1], "k long, t string").coalesce(1), "k", "t")
+    assert one == two and len(one) == licence_scan.NEGATIVES
