@@ -23,7 +23,7 @@ def test_query(spark, connection, name):
 
 def test_contract(spark):
     own = set(registry.QUERIES)
-    assert own <= set(contract.queries()) and own - set(contract.oracle_sql()) == {"index_json", "formatted_report"}
+    assert own <= set(contract.queries()) and own <= set(contract.oracle_sql())
     assert set(contract.oracle_sql()) <= set(contract.queries())
     report = contract.entry(spark)
     assert report.count() > 0 and {"State", "CompanyName", "AvgPremium", "BridgeRate"} <= set(report.columns)

@@ -314,6 +314,38 @@ def index_out(source: str) -> str:
     FROM {source} GROUP BY State"""
 
 
+def index_json_out(source: str) -> str:
+    def listed(name: str) -> str:
+        return f"CASE WHEN {name} = '' THEN [] ELSE string_split({name}, ',') END"
+
+    return f"""entries AS ({index_out(source)}),
+      texts AS (SELECT state, CAST(to_json(struct_pack(state := state, rows := rows,
+        months := CAST({listed('months')} AS INTEGER[]), companies := {listed('companies')},
+        counties := {listed('counties')}, curated := curated, comparison_company := comparison_company,
+        our_companies := {listed('our_companies')})) AS VARCHAR) AS entry FROM entries)
+    SELECT '{{"generated_at":"2026-01-01T00:00:00+00:00","source":"parquet","states":{{'
+      || string_agg('"' || state || '":' || entry, ',' ORDER BY state) || '}}}}' AS value FROM texts"""
+
+
+def formatted_out() -> str:
+    """Display text; halves are rounded away from zero."""
+    def whole(value: str, unit: str = "") -> str:
+        return f"coalesce('{unit}' || format('{{:,}}', CAST(round({value}) AS BIGINT)), '')"
+
+    def percent(value: str, sign: bool = False) -> str:
+        outwards = f"CASE WHEN abs({value} * 4) % 2 = 1 THEN {value} + sign({value}) * 0.001 ELSE {value} END"
+        plus = f"CASE WHEN {value} >= 0 THEN '+' ELSE '' END || " if sign else ""
+        return f"coalesce({plus}printf('%.1f%%', {outwards}), '')"
+
+    return f"""SELECT State, CompanyName, {whole('Quotes')} AS Quotes, {percent('SizePct')} AS SizePct,
+      {whole('AvgPremium', '$')} AS AvgPremium, {whole('WrittenRank')} AS WrittenRank,
+      {whole('BridgingCount')} AS BridgingCount, {percent('(BridgeRate * 100)')} AS BridgeRate,
+      {whole('AvgBridgingPremium', '$')} AS AvgBridgingPremium, {whole('BridgeRank')} AS BridgeRank,
+      coalesce(CASE WHEN RankDiff > 0 THEN '+' ELSE '' END || CAST(RankDiff AS VARCHAR), '') AS RankDiff,
+      {percent('(VsCompareCo * 100)', True)} AS VsCompareCo, {percent('(VsSIC * 100)', True)} AS VsSIC
+    FROM ({report_out()})"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -415,6 +447,7 @@ def oracle_sql() -> dict[str, str]:
       old AS ({index_out("(SELECT * FROM scube WHERE YYYYMM < 202503)")})
       SELECT * FROM fresh WHERE state IN ('IL', 'AZ') UNION ALL SELECT * FROM old WHERE state NOT IN ('IL', 'AZ')"""
     sql["index_after_prune"] = f"SELECT * FROM ({sql['state_index']}) WHERE state IN ('IL', 'AZ')"
+    sql["index_json"] = f"{UP_TO_STATE}, {index_json_out('scube')}"
     sql["displayable_states"] = f"""{UP_TO_STATE} SELECT DISTINCT State AS state FROM scube WHERE State IN ('IL', 'AZ')"""
     sql["distinct_pay_plans"] = f"""{UP_TO_STATE} SELECT DISTINCT s.State, s.PayPlan, p.ord AS PlanOrder
       FROM scube s JOIN plan_dim p ON p.label = s.PayPlan"""
@@ -454,5 +487,6 @@ def oracle_sql() -> dict[str, str]:
     sql["company_report_filtered"] = report_out(ONE_PLAN)
     sql["company_report_what_if"] = report_out(DEFAULT_WHERE, WHAT_IF)
     sql["report_sorted"] = report_out()
+    sql["formatted_report"] = formatted_out()
     sql["report_where"] = report_out(having="Quotes > 300 AND NOT IsTotal")
     return sql
