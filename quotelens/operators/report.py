@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from quotelens import fixed_values as fixed
 from quotelens.config import MarketConfig
@@ -126,11 +126,6 @@ def company_slice(
     )
 
 
-def companies_of(cube: DataFrame) -> DataFrame:
-    """Every company of every state, whatever the filters are."""
-    return cube.select("State", "CompanyName").distinct()
-
-
 def zero_fill(companies: DataFrame, sums: DataFrame) -> DataFrame:
     """All sums of the slice, and zeros for each listed company that has none.
 
@@ -156,9 +151,14 @@ def company_metrics(sums: DataFrame) -> DataFrame:
     return _with_ratios(sums)
 
 
+def _peers(rows: DataFrame) -> WindowSpec:
+    """The companies of a state; TOTAL rows, where there are any, stand apart."""
+    return Window.partitionBy("State", *(["IsTotal"] if "IsTotal" in rows.columns else []))
+
+
 def market_share(sums: DataFrame) -> DataFrame:
     """Share of the state's quotes, in percent."""
-    whole = F.sum("Quotes").over(Window.partitionBy("State"))
+    whole = F.sum("Quotes").over(_peers(sums))
     return sums.withColumn("SizePct", metrics.ratio(F.col("Quotes"), whole) * 100)
 
 
@@ -166,60 +166,65 @@ def company_ranks(rows: DataFrame) -> DataFrame:
     """Price ranks within the state, 1 is cheapest; ties share a rank, no average means no rank."""
 
     def rank(value: str) -> Column:
-        cheapest = Window.partitionBy("State").orderBy(F.col(value).asc_nulls_last())
+        cheapest = _peers(rows).orderBy(F.col(value).asc_nulls_last())
         return F.when(F.col(value).isNotNull(), F.rank().over(cheapest))
 
     ranked = rows.withColumns({"WrittenRank": rank("AvgPremium"), "BridgeRank": rank("AvgBridgingPremium")})
     return ranked.withColumn("RankDiff", F.col("WrittenRank") - F.col("BridgeRank"))
 
 
-def _reference_average(company: Column) -> Column:
-    """Average purchased premium of one company, beside every row of its state."""
-    is_reference = F.col("CompanyName") == company
-    return F.max(F.when(is_reference, F.col("AvgBridgingPremium"))).over(Window.partitionBy("State"))
-
-
 def vs_reference(rows: DataFrame, config: MarketConfig) -> DataFrame:
     """Average purchased premium relative to the comparison and the house company."""
+
+    def reference(company: Column) -> Column:
+        # The average of one company, beside every row of its state.
+        is_reference = F.col("CompanyName") == company
+        return F.max(F.when(is_reference, F.col("AvgBridgingPremium"))).over(_peers(rows))
+
     return (
         rows.withColumns({
-            "RefCompare": _reference_average(config.comparison_for(F.col("State"))),
-            "RefHouse": _reference_average(F.lit(config.house_company)),
+            "RefCompare": reference(config.comparison_for(F.col("State"))),
+            "RefHouse": reference(F.lit(config.house_company)),
         })
         .withColumn("VsCompareCo", metrics.versus(F.col("AvgBridgingPremium"), F.col("RefCompare")))
         .withColumn("VsSIC", metrics.versus(F.col("AvgBridgingPremium"), F.col("RefHouse")))
     )
 
 
-def report_total(sums: DataFrame, config: MarketConfig) -> DataFrame:
-    """TOTAL row per state that has quotes.
+def _added(amount: Column) -> Column:
+    # As decimals, so that a total does not depend on the order of the companies.
+    return F.sum(amount.cast("decimal(28,6)")).cast("double")
 
-    Its comparison columns put the average of all other companies against the
-    reference company. Company sums are added as decimals, so that a total does
-    not depend on their order.
-    """
-    company = F.col("CompanyName")
 
-    def added(amount: Column) -> Column:
-        return F.sum(amount.cast("decimal(28,6)")).cast("double")
+def _total_against(company: Column) -> Column:
+    """Average purchased premium of all other companies relative to that of one."""
+    is_it = F.coalesce(F.col("CompanyName") == company, F.lit(False))
 
-    def reference(name: Column) -> tuple[Column, Column]:
-        is_it = F.coalesce(company == name, F.lit(False))
+    def average(rows: Column) -> Column:
+        return metrics.ratio(
+            _added(F.when(rows, F.col("SumBridgingPremium")).otherwise(0.0)),
+            _added(F.when(rows, F.col("BridgingCount")).otherwise(0.0)),
+        )
 
-        def average(rows: Column) -> Column:
-            return metrics.ratio(
-                added(F.when(rows, F.col("SumBridgingPremium")).otherwise(0.0)),
-                added(F.when(rows, F.col("BridgingCount")).otherwise(0.0)),
-            )
+    return metrics.versus(average(~is_it), average(is_it))
+
+
+def _total_comparisons(config: MarketConfig) -> dict[str, Column]:
+    return {
+        "VsCompareCo": _total_against(config.comparison_for(F.col("State"))),
+        "VsSIC": _total_against(F.lit(config.house_company)),
+    }
 
-        return average(is_it), average(~is_it)
 
-    compare, without_compare = reference(config.comparison_for(F.col("State")))
-    house, without_house = reference(F.lit(config.house_company))
+def report_total(sums: DataFrame, config: MarketConfig) -> DataFrame:
+    """TOTAL row per state that has quotes.
+
+    Its comparison columns put the average of all other companies against the
+    reference company.
+    """
     totals = sums.groupBy("State").agg(
-        *[added(F.col(name)).alias(name) for name in SLICE_SUMS],
-        metrics.versus(without_compare, compare).alias("VsCompareCo"),
-        metrics.versus(without_house, house).alias("VsSIC"),
+        *[_added(F.col(name)).alias(name) for name in SLICE_SUMS],
+        *[value.alias(name) for name, value in _total_comparisons(config).items()],
     )
     return (
         _with_ratios(totals.where(F.col("Quotes") > 0))
@@ -228,13 +233,43 @@ def report_total(sums: DataFrame, config: MarketConfig) -> DataFrame:
     )
 
 
+def with_totals(sums: DataFrame, config: MarketConfig) -> DataFrame:
+    """The sums and, from the same pass by grouping sets, a TOTAL row per state that has quotes.
+
+    Comparisons of the TOTAL rows are in `TotalVsCompareCo` and `TotalVsSIC`.
+    """
+    levels = sums.groupingSets([["State", "CompanyName"], ["State"]], "State", "CompanyName").agg(
+        (F.grouping("CompanyName") == 1).alias("IsTotal"),
+        *[F.max(name).alias(name) for name in SLICE_SUMS],  # one row a company
+        *[_added(F.col(name)).alias(f"Total{name}") for name in SLICE_SUMS],
+        *[value.alias(f"Total{name}") for name, value in _total_comparisons(config).items()],
+    )
+    total = F.col("IsTotal")
+    return levels.withColumns({
+        "CompanyName": F.when(total, "TOTAL").otherwise(F.col("CompanyName")),
+        **{name: F.when(total, F.col(f"Total{name}")).otherwise(F.col(name)) for name in SLICE_SUMS},
+    }).where(~total | (F.col("Quotes") > 0)).drop(*[f"Total{name}" for name in SLICE_SUMS])
+
+
 def report_rows(
     cube: DataFrame, config: MarketConfig, filters: ReportFilters = ReportFilters(),
     discounts: Mapping[str, float] | None = None, companies: DataFrame | None = None,
 ) -> DataFrame:
-    """The zero-filled sums a report is derived from."""
-    sums = company_slice(slice_cube(cube, filters), config, discounts)
-    return zero_fill(companies_of(cube) if companies is None else companies, sums)
+    """The zero-filled sums a report is derived from.
+
+    A list of companies lets the scan read the slice alone. Without one, the same pass
+    over the whole cube finds the companies and adds up the rows of the slice.
+    """
+    if companies is not None:
+        return zero_fill(companies, company_slice(slice_cube(cube, filters), config, discounts))
+    inside = reduce(Column.__and__, slice_predicates(filters, cube.columns))
+    measures = dict.fromkeys([*SLICE_SUMS, *[f"Sum{c}Premium" for c in clean_discounts(discounts)]])
+    whole = cube.withColumns({
+        **{name: F.when(inside, F.col(name)) for name in measures},
+        "CompanyName": F.coalesce("CompanyName", F.lit(fixed.UNKNOWN_COMPANY)),
+    })
+    sums = company_slice(whole, config, discounts)
+    return sums.select("State", "CompanyName", *[F.coalesce(name, F.lit(0.0)).alias(name) for name in SLICE_SUMS])
 
 
 def company_report(
@@ -246,16 +281,20 @@ def company_report(
     `companies` lists the companies to show (a catalogue has them); without it
     they are read off the cube.
     """
-    sums = report_rows(cube, config, filters, discounts, companies)
+    sums = with_totals(report_rows(cube, config, filters, discounts, companies), config)
     rows = vs_reference(company_ranks(market_share(company_metrics(sums))), config)
+    total = F.col("IsTotal")
     reference = F.coalesce(
         (F.col("CompanyName") == config.comparison_for(F.col("State")))
         | (F.col("CompanyName") == config.house_company),
         F.lit(False),
     )
-    rows = rows.withColumns({"IsReference": reference, "IsTotal": F.lit(False)})
-    totals = report_total(sums, config).withColumns({"IsReference": F.lit(False), "IsTotal": F.lit(True)})
-    report = rows.unionByName(totals, allowMissingColumns=True)
+    report = rows.withColumns({
+        "IsReference": ~total & reference,
+        "SizePct": F.when(total, 100.0).otherwise(F.col("SizePct")),
+        **{name: F.when(~total, F.col(name)) for name in ("WrittenRank", "BridgeRank", "RankDiff")},
+        **{n: F.when(total, F.col(f"Total{n}")).otherwise(F.col(n)) for n in ("VsCompareCo", "VsSIC")},
+    })
     return report.select(*REPORT_COLUMNS).orderBy("State", *display_order())
 
 

@@ -181,3 +181,26 @@ def test_report_keeps_companies_that_the_list_lacks(spark):
 def test_unknown_coverage_is_an_error():
     with pytest.raises(ValueError, match="comp"):
         report.clean_discounts({"comp": 10})
+
+
+def test_one_scan_of_the_cube(spark, tmp_path):
+    frames.cube(spark, *MARKET).write.parquet(str(tmp_path / "cube"))
+    stored = spark.read.parquet(str(tmp_path / "cube"))
+    made = report.company_report(stored, CONFIG)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1 and plan.count("Expand") == 1
+    physical = made._jdf.queryExecution().executedPlan().toString()
+    # companies; grouping sets; windows; display order
+    assert physical.count("FileScan parquet") == 1 and physical.count("Exchange ") <= 4
+
+
+@pytest.mark.parametrize("filters", [ReportFilters(), ReportFilters(num_drivers="2"), ReportFilters(term=99)])
+def test_totals_and_company_lists_agree(spark, filters):
+    """The one pass gives what the separate total and a list of companies beside the slice give."""
+    cube = frames.cube(spark, *MARKET)
+    listed = cube.select("State", "CompanyName").distinct()
+    made = report.company_report(cube, CONFIG, filters).collect()
+    assert made == report.company_report(cube, CONFIG, filters, companies=listed).collect()
+    total = report.report_total(report.report_rows(cube, CONFIG, filters), CONFIG)
+    figures = ["State", "CompanyName", "Quotes", "BridgingCount", "BridgeRate", "AvgPremium", "SizePct", "VsCompareCo", "VsSIC"]
+    assert [tuple(r[c] for c in figures) for r in made if r.IsTotal] == [tuple(r) for r in total.select(figures).collect()]
