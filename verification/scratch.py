@@ -9,12 +9,13 @@ from pyspark.sql import SparkSession
 
 from quotelens.operators.collapse import state_cube
 from quotelens.operators.cube import monthly_cube
+from quotelens.schemas import FACTS
 from quotelens.sources.facts import write_facts
 from quotelens.sources.store import CubeStore
 from verification.mapping import CONFIG, mapped_facts
 
 _stores: dict[tuple[str, str], CubeStore] = {}
-_facts: dict[tuple[str, str], str] = {}
+_facts: dict[tuple[str, str], tuple[str, set[str]]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -37,11 +38,13 @@ def cube_store(spark: SparkSession, sf_dir: str, root: str | None = None) -> Cub
     return _stores[key]
 
 
-def stored_facts(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with the mapped facts in their stored layout, written on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _facts:
-        root = f"{scratch_root(spark)}/quotelens-facts-{uuid.uuid4().hex}"
-        write_facts(mapped_facts(spark, sf_dir), root)
-        _facts[key] = root
-    return _facts[key]
+def stored_facts(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """A folder with the named mapped facts (all four by default) in their stored layout, each written on first use."""
+    root, written = _facts.setdefault(
+        (spark.sparkContext.applicationId, sf_dir), (f"{scratch_root(spark)}/quotelens-facts-{uuid.uuid4().hex}", set())
+    )
+    for name in names or FACTS:
+        if name not in written:
+            write_facts(mapped_facts(spark, sf_dir, name), root)
+            written.add(name)
+    return root
