@@ -5,6 +5,9 @@ from types import SimpleNamespace
 import pytest
 
 import __spark_entry__ as contract
+from quotelens import schemas
+from quotelens.operators import vehicles
+from quotelens.sources import files
 from verification import compare, mapping, registry, scratch
 
 SF = "/root/testdata/sf0.001"
@@ -44,3 +47,41 @@ def test_fixture_leaves_the_views_of_the_session(spark):
     spark.range(3).createOrReplaceTempView("orders")
     mapping.mapped_facts(spark, "/root/testdata/sf0.001", "rate")
     assert spark.table("orders").count() == 3
+
+
+def test_stored_facts_are_written_as_they_are_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_facts", {})
+    root = scratch.stored_facts(spark, SF, "rate")
+    assert files.names(spark, root) == ["rate"]
+    assert scratch.stored_facts(spark, SF, "rate", "car") == root and files.names(spark, root) == ["car", "rate"]
+    assert scratch.stored_facts(spark, SF) == root and files.names(spark, root) == sorted(schemas.FACTS)
+
+
+def test_vehicles_are_shuffled_once(spark):
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    held = {name: spark.conf.get(name) for name in off}
+    try:
+        for name, value in off.items():
+            spark.conf.set(name, value)
+        car = mapping.mapped_facts(spark, SF, "car")["car"]
+        plan = vehicles.vehicle_totals(car)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+    # Lineitem, orders, customer and the join of the last two.
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_orders_of_the_joins_give_the_same_rows(spark):
+    keys = [(1, 5), (1, 5), (2, None), (3, 6), (None, 5)]
+    spark.createDataFrame(keys, "o_orderkey long, o_custkey long").createOrReplaceTempView("join_o")
+    spark.createDataFrame([(5,), (5,), (6,), (None,)], "c_custkey long").createOrReplaceTempView("join_c")
+    spark.createDataFrame([(1, 7), (2, 8), (3, 9), (3, 9), (4, 1), (None, 2)], "l_orderkey long, n long").createOrReplaceTempView("join_l")
+
+    def rows(joins):
+        for table in mapping.SOURCE_TABLES:
+            joins = joins.replace(f" {table} ", f" join_{table[0]} ").replace(f"({table} ", f"(join_{table[0]} ")
+        return sorted(map(tuple, spark.sql(f"SELECT l_orderkey, n, o_custkey, c_custkey {joins}").collect()))
+
+    assert mapping.JOINS in mapping.FACTS_SQL
+    assert rows(mapping.JOINS) == rows(mapping.NARROW_FIRST) and len(rows(mapping.JOINS)) == 6
