@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelens.llm.common import stored
+from quotelens.llm.tokenizing import forget
 
 UNKNOWN = "und"
 CELLS = 1 << 15
@@ -147,6 +148,7 @@ def with_likelihoods(docs: DataFrame, text: str, model: TrigramModel) -> DataFra
     schema = T.StructType([*docs.schema.fields, T.StructField(EVIDENCE, T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = log_likelihoods(model, batch.column(batch.schema.get_field_index(text)))
             ends = pa.array(range(0, found.size + 1, found.shape[1]), pa.int32())

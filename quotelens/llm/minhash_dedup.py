@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelens.llm.common import components, forest, stored
+from quotelens.llm.tokenizing import forget
 from quotelens.operators.joins import lookup_join
 
 SHINGLE = 5
@@ -128,6 +129,7 @@ def sketcher():
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             sizes, digests, signatures, bands = [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from quotelens.llm import phrase_mining, tokenizing, tree_packing, whitening
+from quotelens.llm import minhash_dedup, phrase_mining, tokenizing, tree_packing, whitening
 
 SCHEMA = "doc_id long, text string, lang string, phrase string, score long, w1 string, part int, n_chars long"
 
@@ -224,3 +224,39 @@ def test_word_ids_of_chunks(monkeypatch):
         monkeypatch.setattr(tokenizing, "CHUNK_BYTES", size)
         found = tokenizing.word_ids(path, 1)([None if t is None else t.encode() for t in texts])
         assert [x.tolist() for x in found] == [library.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+
+
+def test_pieces_encoded_together(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    calls, encode = [], tokenizing.encode_pieces
+    monkeypatch.setattr(tokenizing, "encode_pieces", lambda t, pieces: calls.append(len(pieces)) or encode(t, pieces))
+    for pieces in (["word", "a|b", "é\t'S", "", "|", "<|endoftext|>", "x" * 50], ["|"], ["a"], [f"w{i}" for i in range(3000)]):
+        found = tokenizing.encode_joined(library, pieces)
+        expected = [library.encode(p, add_special_tokens=False).ids for p in pieces]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == expected
+    assert sum(calls) < 100
+    # A separator that occurs otherwise parts nothing.
+    monkeypatch.setattr(tokenizing, "SEPARATOR", "ab")
+    assert [len(ids) // 4 for ids in tokenizing.encode_joined(library, ["AB", "c"])] == [1, 1]
+
+
+def test_memo_keeps_what_a_repeated_corpus_holds(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    calls, encode = [], tokenizing.encode_pieces
+    monkeypatch.setattr(tokenizing, "encode_pieces", lambda t, pieces: calls.append(sum(map(len, pieces))) or encode(t, pieces))
+    ids_of = tokenizing.word_ids(path, 1)
+    texts = [" ".join(f"q{i}" for i in range(at, at + 5000)).encode() for at in range(0, 300_000, 5000)] * 2
+    first = sum(len(x) for x in ids_of(texts))
+    met = sum(calls)
+    assert sum(len(x) for x in ids_of(texts)) == first and sum(calls) == met
+
+
+def test_workers_forget_pieces():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids_of = tokenizing.word_ids(path, 1)
+    first = [x.tolist() for x in ids_of([b"some words", b"more"])]
+    assert tokenizing.load(path)[1]["new"]
+    next(minhash_dedup.sketcher()(iter([])), None)
+    assert not any(tokenizing.load(path)[1].values())
+    assert [x.tolist() for x in ids_of([b"some words", b"more"])] == first
