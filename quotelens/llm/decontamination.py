@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelens.llm.common import stored
+from quotelens.llm.common import give_back, in_slices, stored
 
 #: Words are runs of ASCII letters and digits, A-Z in lower case, and all other characters beyond ASCII.
 LOWER_WORDS = bytes(
@@ -66,7 +66,7 @@ def indexer(term_ids: dict[bytes, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = term_ids.get
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             n_words, digests, terms, counts, places, ends, sums = [], [], [], [], [], [0], [0]
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 found = words(text or b"")
@@ -91,6 +91,7 @@ def indexer(term_ids: dict[bytes, int]):
                  lists(ends, terms), lists(ends, counts), lists(sums, places)],
                 names=["doc", "text_digest", "n_words", "terms", "counts", "places"],
             )
+        give_back()
 
     return run
 
@@ -214,6 +215,7 @@ def searcher(block: dict[tuple[bytes, ...], set[str]], term_ids: dict[bytes, int
                      pa.array(items, pa.list_(pa.string())), pa.array(near, pa.int64())],
                     names=["doc", "text_digest", "n_words", "hit_from", "hit_to", "items", "near"],
                 )
+        give_back()
 
     return run
 

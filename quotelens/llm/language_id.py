@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotelens.llm.common import stored
+from quotelens.llm.common import give_back, in_slices, stored
 from quotelens.llm.tokenizing import forget
 
 UNKNOWN = "und"
@@ -149,11 +149,12 @@ def with_likelihoods(docs: DataFrame, text: str, model: TrigramModel) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        for batch in batches:
+        for batch in in_slices(batches, text):
             found = log_likelihoods(model, batch.column(batch.schema.get_field_index(text)))
             ends = pa.array(range(0, found.size + 1, found.shape[1]), pa.int32())
             lists = pa.ListArray.from_arrays(ends, pa.array(found.reshape(-1), pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, EVIDENCE])
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelens.llm.common import components, forest, stored
+from quotelens.llm.common import components, forest, give_back, in_slices, stored
 from quotelens.llm.tokenizing import forget
 from quotelens.operators.joins import lookup_join
 
@@ -65,7 +65,7 @@ def tables():
 
 
 #: Shingles of a very long text that are hashed at a time.
-CHUNK_WORDS = 200_000
+CHUNK_WORDS = 20_000
 
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2**64)
@@ -130,7 +130,7 @@ def sketcher():
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             sizes, digests, signatures, bands = [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 words = normalised(text or b"")
@@ -148,6 +148,7 @@ def sketcher():
                  pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                 names=["doc_id", "text_digest", "n_shingles", "digest", "signature", "bands"],
             )
+        give_back()
 
     return run
 
@@ -219,7 +220,7 @@ def verifier():
 
     def run(batches):
         kept = {}
-        for batch in batches:
+        for batch in in_slices(batches, "text_a"):
             texts = [batch.column(c).cast(pa.binary()).to_pylist() for c in ("text_a", "text_b")]
             linked = []
             for a, b in zip(*texts):
@@ -232,6 +233,8 @@ def verifier():
                     sets.append(kept[text])
                 linked.append(similar(*sets))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+        kept.clear()
+        give_back()
 
     return run
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelens.llm.common import stored
+from quotelens.llm.common import give_back, in_slices, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", bin long, offset long, residual long, bins long, bound long"
@@ -28,7 +28,7 @@ def cutter(tokenizer: str, capacity: int, end: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = word_ids(tokenizer, end)
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             rows = []
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for doc, found in zip(batch.column("doc_id").to_pylist(), ids_of(texts)):
@@ -41,8 +41,7 @@ def cutter(tokenizer: str, capacity: int, end: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"]
             )
-        # The worker waits for its next task with what it holds.
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return run
 

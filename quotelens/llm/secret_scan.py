@@ -13,6 +13,9 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotelens.llm.common import give_back, in_slices
+from quotelens.llm.tokenizing import forget
+
 #: Order of kinds among spans that start together. The first three are plain patterns.
 KINDS = ("assign", "access", "hex", "token", "key")
 
@@ -332,7 +335,7 @@ def scanner():
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             counts: dict[str, list[int]] = {kind: [] for kind in KINDS}
             digests, spans = [], []
             for _, base, more in found_in(batch.column("text")):
@@ -347,6 +350,7 @@ def scanner():
                  pa.array(digests, pa.string()), pa.array(spans, pa.string()), numbers["token"], numbers["key"]],
                 names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_token", "n_key"],
             )
+        give_back()
 
     return run
 
@@ -363,7 +367,8 @@ def redact(docs: DataFrame, text: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        forget()
+        for batch in in_slices(batches, text):
             at = batch.schema.get_field_index(text)
             old = batch.column(at)
             new, changed = [], False
@@ -374,6 +379,7 @@ def redact(docs: DataFrame, text: str) -> DataFrame:
                 else:
                     new.append(old[i].as_py())
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, old.type)) if changed else batch
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -18,6 +18,8 @@ import os
 import re
 import sys
 
+from quotelens.llm.common import give_back
+
 MEMO = 400_000
 
 
@@ -34,12 +36,10 @@ def load(path: str):
 
 def forget() -> None:
     """Drop the pieces that this worker remembers; for tasks of other work, which the memory is then there for."""
-    import pyarrow as pa
-
     for _, held in sys.__dict__.get("_quotelens_tokenizers", {}).values():
         for pieces in held.values():
             pieces.clear()
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def encode_pieces(tokenizer, pieces: list[str]) -> list[list[int]]:
@@ -131,7 +131,7 @@ def word_id_bytes(path: str):
 
 
 #: Bytes of text that are cut into pieces at a time, and pieces whose ids a worker remembers (about 200 bytes each).
-CHUNK_BYTES, WORD_MEMO = 3_000_000, 800_000
+CHUNK_BYTES, WORD_MEMO = 3_000_000, 400_000
 
 
 def word_ids(path: str, end: int):

@@ -482,3 +482,36 @@ def test_licence_probabilities_and_sample(licence_model, spark):
     one = licence_scan.sample_negatives(spark.createDataFrame(rows, "k long, t string").repartition(7), "k", "t")
     two = licence_scan.sample_negatives(spark.createDataFrame(rows[::-1], "k long, t string").coalesce(1), "k", "t")
     assert one == two and len(one) == licence_scan.NEGATIVES
+
+
+def test_batches_are_worked_on_in_slices(monkeypatch):
+    """Every row in order, whole; no slice of several texts is above the limit."""
+    import pyarrow as pa
+
+    from quotelens.llm import common
+
+    monkeypatch.setattr(common, "SLICE_BYTES", 100)
+    texts = [None, "a" * 60, "b" * 40, "c" * 30, "", "d" * 500, "e", None, "é" * 50, "f"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(10)), "text": texts})
+    found = list(common.in_slices([batch.slice(1), batch, batch.slice(0, 0)], "text"))
+    assert [i for b in found for i in b.column("id").to_pylist()] == [*range(1, 10), *range(10)]
+    sizes = [[len((t or "").encode()) for t in b.column("text").to_pylist()] for b in found]
+    assert all(sum(s) <= 100 or len(s) == 1 for s in sizes) and len(found) == 12
+    common.give_back()
+
+
+def test_redaction_works_on_slices(spark, monkeypatch):
+    """A batch of a task goes to the search in parts, and gives the rows that it gave whole."""
+    from quotelens.llm import common
+
+    rows = [(i, f"line {i} password=abcdef{i}" if i % 3 else None) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    whole = secret_scan.redact(docs, "text").collect()
+    monkeypatch.setattr(common, "SLICE_BYTES", 64)
+    sizes = []
+    may_hold = secret_scan.may_hold
+    monkeypatch.setattr(secret_scan, "may_hold", lambda column: (sizes.append(len(column)), may_hold(column))[1])
+    batch = docs.toArrow().to_batches()[0]
+    parts = [b for b in common.in_slices([batch], "text")]
+    assert [list(secret_scan.found_in(b.column("text"))) for b in parts] and max(sizes) < 5
+    assert secret_scan.redact(docs, "text").collect() == whole and whole[1].text == "line 1 [secret]"
