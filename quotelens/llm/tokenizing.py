@@ -87,6 +87,8 @@ class Memo:
 
     def lookup(self, pieces: list[str]) -> list:
         """Values of all pieces, in order."""
+        if len(self.held["new"]) > self.size // 2:
+            self.held["old"], self.held["new"] = self.held["new"], {}
         new = self.held["new"]
         values = list(map(new.get, pieces))
         if None in values:
@@ -102,8 +104,6 @@ class Memo:
                 part = missing[i : i + 4096]
                 new.update(zip(part, self.encode(part)))
             values = list(map(new.get, pieces))
-            if len(new) > self.size // 2:
-                self.held["old"], self.held["new"] = new, {}
         return values
 
 
