@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from quotelens import schemas
-from quotelens.operators import vehicles
+from quotelens.operators import drivers, vehicles
 from quotelens.sources import files
 from verification import compare, mapping, registry, scratch
 
@@ -85,3 +85,57 @@ def test_orders_of_the_joins_give_the_same_rows(spark):
 
     assert mapping.JOINS in mapping.FACTS_SQL
     assert rows(mapping.JOINS) == rows(mapping.NARROW_FIRST) and len(rows(mapping.JOINS)) == 6
+
+
+@pytest.mark.parametrize("many", [mapping.MANY_LINES, 10])
+def test_facts_derived_with_less_carried_are_those_of_the_text(spark, tmp_path, monkeypatch, many):
+    """Repeated rows, nulls and lines without an order, whether Spark or the fixture chooses the partitions."""
+    monkeypatch.setattr(mapping, "MANY_LINES", many)
+    lines = [
+        (o, p, s, n, price, flag, status, 30.0 if n == 5 else 20.0)
+        for o in (1, 2, 3, 4, 23, 99, None) for n, p, s, price, flag, status in (
+            (1, 25, 200, 1234.56, "R", "F"), (1, 25, 200, 1234.56, "R", "F"), (2, None, None, None, None, None),
+            (5, 40, 171, 99.99, "A", "O"), (7, 361, 343, 5000.0, "N", "O"), (None, 3, 9, 10.0, "A", "F"))
+    ]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, l_linestatus string, l_quantity double"
+    tables = {
+        "lineitem": (lines, columns),
+        "orders": ([(1, 50), (1, 50), (2, 51), (2, 54), (3, 52), (4, None), (23, 51), (None, 51)], "o_orderkey long, o_custkey long"),
+        "customer": (
+            [(50, 0, "A"), (50, 3, "B"), (51, None, None), (52, 2, "C"), (52, 2, "C"), (54, 4, "D"), (None, 1, "E")],
+            "c_custkey long, c_nationkey int, c_mktsegment string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").createOrReplaceTempView(f"written_{name}")
+    text = mapping.FACTS_SQL
+    for name in mapping.SOURCE_TABLES:
+        text = text.replace(f"FROM {name} ", f"FROM written_{name} ").replace(f"JOIN {name} ", f"JOIN written_{name} ")
+    for name, rows in mapping.mapped_facts(spark, str(tmp_path)).items():
+        written = spark.sql(f"{text} SELECT * FROM fx_{name}")
+        assert rows.schema == written.schema
+        assert sorted(map(str, rows.collect())) == sorted(map(str, written.collect())) and rows.count() > 0, name
+
+
+def test_drivers_are_shuffled_before_they_are_widened(spark):
+    """Lines and orders by the order, orders and customers for their join; neither the distinct nor the totals shuffle again."""
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    held = {name: spark.conf.get(name) for name in off}
+    try:
+        for name, value in off.items():
+            spark.conf.set(name, value)
+        driver = mapping.mapped_facts(spark, SF, "driver")["driver"]
+        plan = drivers.driver_totals(driver)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_tasks_of_drivers_have_a_bound(spark, monkeypatch):
+    """Adaptive execution leaves the partitions of a large table as the number of its lines asks for."""
+    monkeypatch.setattr(mapping, "MANY_LINES", 1000)
+    monkeypatch.setattr(mapping, "TASK_LINES", 500)
+    driver = mapping.mapped_facts(spark, SF, "driver")["driver"]
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert driver.rdd.getNumPartitions() == lines // 500 > 8
