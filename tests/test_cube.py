@@ -125,3 +125,23 @@ def test_measures_are_additive(facts):
     whole = cube.agg(*[F.round(F.sum(m), 2) for m in MEASURES]).first()
     by_state = cube.groupBy("State").agg(*[F.sum(m).alias(m) for m in MEASURES])
     assert by_state.agg(*[F.round(F.sum(m), 2) for m in MEASURES]).first() == whole
+
+
+def shuffles(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_quotes_are_shuffled_once_for_their_rate(spark):
+    """The combination of quotes and the join with the profiles share a shuffle."""
+    names = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    held = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        quotes = cubes.quotes_by_rate(frames.rate(spark, {}).repartition(2).selectExpr(
+            "*", "string(CompanyId) CompanyName", "string(NumOfPayments) PayPlan", "Purchased PurchasedFinal"))
+        profile = spark.range(3).selectExpr("id % 2 RateId", "string(id) State_Name", "string(id) Year_Month").distinct()
+        assert (shuffles(quotes), shuffles(quotes.join(profile, cubes.RATE_KEY))) == (1, 2)
+    finally:
+        for name, value in held.items():
+            spark.conf.set(name, value)
