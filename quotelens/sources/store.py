@@ -140,11 +140,14 @@ class CubeStore:
     # --- writing -------------------------------------------------------------
 
     def stage(self, cube: str, rows: DataFrame) -> Places:
-        """Write rows as files of a new version that no manifest names yet; the months they hold."""
+        """Write rows as files of a new version that no manifest names yet; the months they hold.
+
+        Each task writes what it has of a month: the cube is not shuffled to be written, and a month has no more files
+        than there are tasks, of which adaptive execution leaves few for a small cube.
+        """
         version = uuid.uuid4().hex
         path = f"{self.root}/versions/{CUBES[cube]}/version={version}"
-        (rows.select(*CUBE.fieldNames()).hint("rebalance", *MONTH)
-         .write.partitionBy(*MONTH).option("compression", "snappy").parquet(path))
+        rows.select(*CUBE.fieldNames()).write.partitionBy(*MONTH).option("compression", "zstd").parquet(path)
         return self._places(path, version)
 
     def stage_index(self, entries: DataFrame, source: str) -> str:

@@ -9,7 +9,7 @@ from quotelens.operators.cube import monthly_cube
 from quotelens.operators.report import ReportFilters
 from quotelens.plans import refresh as job
 from quotelens.plans.reporting import export_csv, report_states, state_report
-from quotelens.schemas import FACTS, fact_schema
+from quotelens.schemas import CUBE, FACTS, fact_schema
 from quotelens.sources import facts as sources
 from quotelens.sources.store import CubeStore
 from tests import frames
@@ -327,3 +327,16 @@ def test_discovery_in_a_database_is_one_statement():
     assert sources.discovery_query("x", 1).endswith("FROM x.fact_Rate TABLESAMPLE (1 PERCENT)")
     with pytest.raises(ValueError):
         sources.discovery_query(sample_percent=0)
+
+
+def test_a_cube_is_written_without_a_shuffle(spark, tmp_path):
+    """Each task writes its own rows, so as many files lie in a month as tasks had some of it."""
+    store = CubeStore(spark, str(tmp_path))
+    row = {f.name: None for f in CUBE.fields} | {"State": "IL", "YYYYMM": 202501, "RateSource": "ITC", "Quotes": 1}
+    cube = spark.createDataFrame([row | {"PremBin": n} for n in range(4)], CUBE).repartition(4)
+    places = store.stage("monthly", cube)
+    [version] = places["IL"].values()
+    month = tmp_path / "versions" / "monthly_cube" / f"version={version}" / "State=IL" / "YYYYMM=202501"
+    held = cube.select(F.spark_partition_id()).distinct().count()
+    assert len(list(month.glob("*.parquet"))) == held > 1
+    assert sorted(r.PremBin for r in store.read("monthly", places).collect()) == [0, 1, 2, 3]
