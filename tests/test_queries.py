@@ -139,3 +139,12 @@ def test_tasks_of_drivers_have_a_bound(spark, monkeypatch):
     driver = mapping.mapped_facts(spark, SF, "driver")["driver"]
     lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
     assert driver.rdd.getNumPartitions() == lines // 500 > 8
+
+
+def test_a_query_of_the_monthly_cube_folds_nothing_for_the_store(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_stores", {})
+    assert scratch.cube_store(spark, SF, folded=False).snapshot().states == {}
+    store = scratch.cube_store(spark, SF)
+    assert store is scratch.cube_store(spark, SF, folded=False)
+    snapshot = store.snapshot()
+    assert {s: set(m) for s, m in snapshot.states.items()} == {s: set(m) for s, m in snapshot.monthly.items()} != {}

@@ -25,17 +25,22 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir")
 
 
-def cube_store(spark: SparkSession, sf_dir: str, root: str | None = None) -> CubeStore:
-    """Monthly and state cube of the mapped facts, written on first use under `root`, by default the shared folder."""
+def cube_store(spark: SparkSession, sf_dir: str, root: str | None = None, folded: bool = True) -> CubeStore:
+    """The cubes of the mapped facts, each written on first use under `root`, by default the shared folder.
+
+    The state cube is only written for those who read it (`folded`).
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
         store = CubeStore(spark, f"{root or scratch_root(spark)}/quotelens-{uuid.uuid4().hex}")
         facts = mapped_facts(spark, sf_dir, "rate", "car", "driver")
         months = store.stage("monthly", monthly_cube(facts["rate"], facts["car"], facts["driver"], CONFIG))
-        states = store.stage("states", state_cube(store.read("monthly", months), CONFIG))
-        store.publish(store.snapshot(), monthly=months, states=states)
+        store.publish(store.snapshot(), monthly=months)
         _stores[key] = store
-    return _stores[key]
+    store, base = _stores[key], _stores[key].snapshot()
+    if folded and not base.states:
+        store.publish(base, states=store.stage("states", state_cube(store.monthly(base), CONFIG)))
+    return store
 
 
 def stored_facts(spark: SparkSession, sf_dir: str, *names: str) -> str:
