@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from quotelens import schemas
-from quotelens.operators import drivers, vehicles
+from quotelens.operators import drivers, rates, vehicles
 from quotelens.sources import files
 from verification import compare, mapping, registry, scratch
 
@@ -148,3 +148,18 @@ def test_a_query_of_the_monthly_cube_folds_nothing_for_the_store(spark, monkeypa
     assert store is scratch.cube_store(spark, SF, folded=False)
     snapshot = store.snapshot()
     assert {s: set(m) for s, m in snapshot.states.items()} == {s: set(m) for s, m in snapshot.monthly.items()} != {}
+
+
+def test_quotes_spread_by_policy_are_cleaned_without_a_further_shuffle(spark):
+    """Customers are broadcast here, so nothing else spreads the quotes by policy."""
+    held = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plain, spread = (
+            mapping.mapped_facts(spark, SF, "rate", by_policy=b)["rate"] for b in (False, True))
+        plans = [rates.clean_rates(r, mapping.CONFIG)._jdf.queryExecution().executedPlan().toString() for r in (plain, spread)]
+        assert "BroadcastHashJoin" in plans[1]
+        assert [p.count("Exchange hashpartitioning") for p in plans] == [2, 1]
+        assert plain.exceptAll(spread).isEmpty() and spread.exceptAll(plain).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", held)

@@ -33,7 +33,7 @@ def cube_store(spark: SparkSession, sf_dir: str, root: str | None = None, folded
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
         store = CubeStore(spark, f"{root or scratch_root(spark)}/quotelens-{uuid.uuid4().hex}")
-        facts = mapped_facts(spark, sf_dir, "rate", "car", "driver")
+        facts = mapped_facts(spark, sf_dir, "rate", "car", "driver", by_policy=True)
         months = store.stage("monthly", monthly_cube(facts["rate"], facts["car"], facts["driver"], CONFIG))
         store.publish(store.snapshot(), monthly=months)
         _stores[key] = store
