@@ -82,14 +82,16 @@ def quotes_by_rate(cleaned: DataFrame) -> DataFrame:
 
     Bounds what a rate shared by very many quotes brings into the join with the
     profiles. QuoteRows counts all quotes, Quotes those with a premium. Quotes are
-    shuffled once, by the key of that join.
+    shuffled once, by the key of that join, and to a stated number of partitions, which
+    adaptive execution leaves: their task holds the join and three aggregates too.
     """
+    partitions = int(cleaned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     purchased = F.col("PurchasedFinal") == 1
     return (
         cleaned.withColumn("PremBin", bins.premium_bin(F.col("TotalPremium")))
         .withColumns({"NonOwner": F.coalesce("NonOwner", F.lit(0)), "RateSource": bins.provider(F.col("Rate_Source"))})
         .select(*RATE_KEY, *RATE_DIMENSIONS, "TotalPremium", "PurchasedFinal")
-        .repartition(*RATE_KEY)
+        .repartition(partitions, *RATE_KEY)
         .groupBy(*RATE_KEY, *RATE_DIMENSIONS)
         .agg(
             F.count(F.lit(1)).alias("QuoteRows"),
