@@ -361,6 +361,19 @@ def test_exchange_gain_is_the_change_of_the_objective():
         assert math.isclose(change, gain, abs_tol=1e-6) and gain >= 0
 
 
+def test_rare_words_are_clustered_by_what_stands_beside_them(spark):
+    """Words of 1/15,000 of the tokens and one form: their class comes from the exchange, not from the form."""
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    triples = ([f"a x{i:04} c" for i in range(4000)] + [f"b y{i:04} d" for i in range(1000)]) * 3
+    random.Random(8).shuffle(triples)
+    kept = [i for i in range(1000) if i not in held][:80]
+    rows = [(k, "\n".join(triples[at * 300:at * 300 + 300])) for at, k in enumerate(kept)]
+    rows += list(zip(held, ["a x0001 c", "a y0001 c", "b y0002 d", "b x0002 d", "a z0001 c"]))
+    found = rows_of(brown_lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"))
+    right, swapped, other, crossed, unknown = (found[k][0].score for k in held[:5])
+    assert right > swapped + 1 and other > crossed + 1 and right > unknown and math.isfinite(unknown)
+
+
 def test_language_evidence(spark, empty):
     r = random.Random(5)
     vocabulary = {"aa": "bra kel dun mip sorr".split(), "bb": "ouzé lant iré queux mont".split()}
