@@ -32,6 +32,8 @@ CLASSES = 48
 FORMS = 12
 #: All classes: the words', that of the end, those that begin as the forms'.
 SIZE = CLASSES + 1 + FORMS
+#: Cells of a word's contexts: the classes that follow, those that precede, the word after itself.
+CELLS = 2 * SIZE + 1
 #: Parts of the frequent words that move in turn, and of the buckets of all words.
 PARTS = 6
 BUCKET_PARTS = 3
@@ -482,8 +484,9 @@ def transitions(texts: DataFrame):
 def word_contexts(part: int):
     """One row per block and bucket of the part: how often each class follows and precedes each of the words.
 
-    A code is the word's place among the block's in the bucket times 2 * SIZE, plus the class
-    that follows, or plus SIZE and the class before. Codes are sorted and given by their steps.
+    A code is the word's place among the block's in the bucket times CELLS, plus the cell: the class
+    that follows, SIZE and the class before, or the last for the word after itself. Codes are sorted
+    and given by their steps.
     """
     import numpy as np
     import pyarrow as pa
@@ -498,15 +501,16 @@ def word_contexts(part: int):
                 turn = buckets % BUCKET_PARTS == part
                 # Ends do not move.
                 at = np.flatnonzero(np.append(np.repeat(turn, sizes), False)[words])
-                width = np.int32 if (len(turn) and sizes.sum() * 2 * SIZE < 2**31) else np.int64
-                base = words[at].astype(width) * width(2 * SIZE)
+                width = np.int32 if (len(turn) and sizes.sum() * CELLS < 2**31) else np.int64
+                base = words[at].astype(width) * width(CELLS)
                 # An end follows every text, so no word is last.
-                follows, precedes = line[at + 1].astype(width), preceding(line, CLASSES)[at].astype(width)
-                code, n = np.unique(np.concatenate((base + follows, base + precedes + width(SIZE))), return_counts=True)
+                follows = np.where(words[at + 1] == words[at], 2 * SIZE, line[at + 1]).astype(width)
+                precedes, other = preceding(line, CLASSES)[at].astype(width) + width(SIZE), preceding(words, -1)[at] != words[at]
+                code, n = np.unique(np.concatenate((base + follows, (base + precedes)[other])), return_counts=True)
                 ends = np.cumsum(sizes)
                 for bucket, size, end in zip(buckets[turn].tolist(), sizes[turn].tolist(), ends[turn].tolist()):
-                    first = (end - size) * 2 * SIZE
-                    a, b = np.searchsorted(code, [first, end * 2 * SIZE])
+                    first = (end - size) * CELLS
+                    a, b = np.searchsorted(code, [first, end * CELLS])
                     if a < b:
                         steps = np.diff(code[a:b].astype(np.int64), prepend=first).astype("<i4")
                         yield pa.RecordBatch.from_arrays(
@@ -519,14 +523,16 @@ def word_contexts(part: int):
 
 
 def best_classes(word, cell, n, own, count, matrix):
-    """The classes that words best move to, and the gains over their own, while their neighbours stay where they are.
+    """`best_class` for many words: the classes that they best move to and the gains, each as if it moved alone.
 
-    `cell` is the class after a word, or SIZE and the class before it; rows are sorted by
-    word. `own` and `count` have an item for each of the words.
+    Rows count the `cell`s of the words' contexts and are sorted by word. `own` and `count`
+    have an item for each of the words.
     """
     import numpy as np
 
-    base = np.concatenate((matrix.T, matrix)).astype(np.float64)
+    # A word after itself adds to the cell of the class that it moves to, see below.
+    base, cells = np.concatenate((matrix.T, matrix, np.zeros((1, SIZE)))).astype(np.float64), matrix.astype(np.float64)
+    diagonal = cells.diagonal()
     logs = plogp(base)
     few = np.stack([plogp(base + k) - logs for k in range(1, 9)])
     starts = np.flatnonzero(np.diff(word, prepend=-1))
@@ -541,12 +547,28 @@ def best_classes(word, cell, n, own, count, matrix):
         if len(many := np.flatnonzero(k > 8)):
             gain[many] = plogp(base[c[many]] + k[many, None]) - logs[c[many]]
         gain[np.arange(len(w)), mine] = logs[c, mine] - plogp(np.maximum(base[c, mine] - k, 0))
+        gain[c == 2 * SIZE] = 0
         total = np.add.reduceat(gain, first - a, axis=0)
+        sides = np.zeros((len(named), CELLS))
+        sides[np.repeat(np.arange(len(named)), np.diff(np.append(first, b))), c] = k
+        right, left, loop = sides[:, :SIZE], sides[:, SIZE:-1], sides[:, -1:]
         at, mine, times = np.arange(len(named)), own[named].astype(np.int64), count[named].astype(np.float64)
         for sums in (matrix.sum(axis=1).astype(np.float64), matrix.sum(axis=0).astype(np.float64)):
             loss = plogp(sums + times[:, None]) - plogp(sums)
             loss[at, mine] = plogp(sums[mine]) - plogp(np.maximum(sums[mine] - times, 0))
             total -= loss
+        # A class before and after itself is one cell, not two.
+        both = plogp(diagonal + right + left + loop) + plogp(diagonal) - plogp(diagonal + right) - plogp(diagonal + left)
+        r, l, d = right[at, mine], left[at, mine], diagonal[mine]
+        both[at, mine] = plogp(np.maximum(d - r, 0)) + plogp(np.maximum(d - l, 0)) - plogp(d) - plogp(np.maximum(d - r - l - loop[:, 0], 0))
+        # Where the word leaves its own class, the cells of that class with others lose what it took there.
+        for near, far, between in ((r, left, cells[:, mine].T), (l, right, cells[mine])):
+            some = np.flatnonzero(near)
+            m, x, f = between[some], near[some, None], np.maximum(between[some] - far[some], 0)
+            change = plogp(f + x) - plogp(f) - plogp(m + x) + plogp(m)
+            change[np.arange(len(some)), mine[some]] = 0
+            both[some] += change
+        total += both
         total[:, CLASSES] = -np.inf
         to[named] = total.argmax(axis=1)
         gains[named] = total.max(axis=1) - total[at, mine]
@@ -566,14 +588,14 @@ def mover(moved: tuple[float, float], matrix):
         at, codes, counts = numbers_of(row["at"]).astype(np.int64), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for block, steps, n in zip(*(near.column(c).to_pylist() for c in ("block", "steps", "n"))):
             code = np.cumsum(numbers_of(steps), dtype=np.int64)
-            codes.append(at[starts[block] + code // (2 * SIZE)] * (2 * SIZE) + code % (2 * SIZE))
+            codes.append(at[starts[block] + code // CELLS] * CELLS + code % CELLS)
             counts.append(numbers_of(n).astype(np.int64))
         code, n = np.concatenate(codes), np.concatenate(counts)
         order = np.argsort(code, kind="stable")
         code, n = code[order], n[order]
         first = np.flatnonzero(np.diff(code, prepend=-1))
         code, n = code[first], np.add.reduceat(n, first) if len(first) else n
-        to, gain = best_classes(code // (2 * SIZE), code % (2 * SIZE), n, own, counts_of(row["n_train"]), matrix)
+        to, gain = best_classes(code // CELLS, code % CELLS, n, own, counts_of(row["n_train"]), matrix)
         return pa.Table.from_batches([state_row(row["bucket"], own, to, gain)])
 
     return run

@@ -361,6 +361,30 @@ def test_exchange_gain_is_the_change_of_the_objective():
         assert math.isclose(change, gain, abs_tol=1e-6) and gain >= 0
 
 
+def test_best_classes_agree_with_best_class():
+    """Many words at once, with words after themselves and neighbours of the own class."""
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    size, end, k = brown_lm.SIZE, brown_lm.CLASSES, 90
+    line, n = r.integers(0, k, 4000) ** 2 // k, np.zeros((k, k), np.int64)
+    np.add.at(n, (line, np.roll(line, -1)), 1)
+    classes = np.append(r.choice([0, 1, 2, 50], k - 1), end)
+    matrix, rows, exact = np.zeros((size, size), np.int64), [], []
+    np.add.at(matrix, (classes[:, None].repeat(k, 1), classes[None, :].repeat(k, 0)), n)
+    for w in range(k - 1):
+        others = np.arange(k) != w
+        right = np.bincount(classes[others], weights=n[w, others], minlength=size)
+        left = np.bincount(classes[others], weights=n[others, w], minlength=size)
+        exact.append((right, left, int(n[w, w])))
+        rows += [(w, c, x) for c, x in enumerate([*right, *left, n[w, w]]) if x]
+    word, cell, times = (np.array(x, np.int64) for x in zip(*rows))
+    to, gain = brown_lm.best_classes(word, cell, times, classes[:-1], n.sum(axis=1)[:-1], matrix)
+    for w in np.flatnonzero(n.sum(axis=1)[:-1] > 1).tolist():
+        best, value = brown_lm.best_class(matrix, int(classes[w]), *exact[w], size)
+        assert best == end or math.isclose(value, gain[w], abs_tol=1e-5) and (best == to[w] or value < 1e-5)
+
+
 def test_rare_words_are_clustered_by_what_stands_beside_them(spark):
     """Words of 1/15,000 of the tokens and one form: their class comes from the exchange, not from the form."""
     held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 == 2]
