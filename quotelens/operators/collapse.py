@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quotelens import fixed_values as fixed
 from quotelens.config import MarketConfig
-from quotelens.functions.lookup import total
+from quotelens.functions.lookup import cents, dollars, total
 from quotelens.operators.months import upsert_months
 from quotelens.schemas import COUNT_MEASURES, CUBE_KEYS, MEASURES
 
@@ -84,21 +84,37 @@ def county_top_n(cube: DataFrame, config: MarketConfig) -> DataFrame:
     return regroup(_relabel_counties(cube, config))
 
 
-def merge_folded(folded: DataFrame, fresh: DataFrame, config: MarketConfig) -> DataFrame:
+def merge_folded(folded: DataFrame, fresh: DataFrame, config: MarketConfig, distinct: bool = False) -> DataFrame:
     """Put fresh months into a cube that was folded before, and fold again.
 
     For stores that keep no unfolded cube. What was folded stays Other, so the
     result depends on the order of refreshes; `state_cube` on all months does not.
+    `distinct` holds for both cubes, and then for what they make together: a month is of one of them.
     """
-    return state_cube(upsert_months(folded, fresh), config)
+    return state_cube(upsert_months(folded, fresh), config, distinct)
 
 
-def state_cube(cube: DataFrame, config: MarketConfig) -> DataFrame:
+def _regroup_folded(relabelled: DataFrame) -> DataFrame:
+    """`regroup` of a cube that had one row per key before labels became Other.
+
+    Only rows with a label Other can have become equal, so only they are shuffled. Rows
+    without a state or month are regrouped too: those of several cubes may be equal.
+    """
+    counts = {m: F.coalesce(m, F.lit(0)) for m in COUNT_MEASURES}
+    amounts = {m: dollars(F.coalesce(cents(m), F.lit(0))) for m in MEASURES if m not in COUNT_MEASURES}
+    other = F.coalesce(F.col("CompanyName") == fixed.OTHER, F.lit(False)) | (F.col("County") == fixed.OTHER)
+    gathered = other | F.col("State").isNull() | F.col("YYYYMM").isNull()
+    alone = relabelled.where(~gathered).withColumns({**counts, **amounts}).select(*CUBE_KEYS, *MEASURES)
+    return regroup(relabelled.where(gathered)).unionByName(alone)
+
+
+def state_cube(cube: DataFrame, config: MarketConfig, distinct: bool = False) -> DataFrame:
     """Fold companies and counties of all months together.
 
     Folding companies leaves county volumes as they are, so both lists come
     from the same cube and the rows are regrouped once. Give it a stored cube:
-    it is read three times.
+    it is read three times, and once more if it is `distinct`, that is, has one
+    row per key, as a stored cube has; then only rows that fold are shuffled.
     """
     counties = F.broadcast(top_counties(cube, config))
     relabelled = (
@@ -106,4 +122,4 @@ def state_cube(cube: DataFrame, config: MarketConfig) -> DataFrame:
         .withColumn("County", F.when(F.col("kept"), F.col("County")).otherwise(fixed.OTHER))
         .drop("kept")
     )
-    return regroup(relabelled)
+    return _regroup_folded(relabelled) if distinct else regroup(relabelled)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
@@ -25,6 +26,8 @@ Places = dict[str, dict[str, str]]
 UNVERSIONED = ""
 CUBES = {"monthly": "monthly_cube", "states": "state_cube"}
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class StoreConflict(RuntimeError):
     """Another job has published a state that this one changes; run it again on what is stored now."""
@@ -143,12 +146,14 @@ class CubeStore:
         """Write rows as files of a new version that no manifest names yet; the months they hold.
 
         Each task writes what it has of a month: the cube is not shuffled to be written, and a month has no more files
-        than there are tasks, of which adaptive execution leaves few for a small cube.
+        than there are tasks, of which adaptive execution leaves few for a small cube. Its shuffle files go as soon as
+        it is written, so the next cube does not need room beside them.
         """
         version = uuid.uuid4().hex
         path = f"{self.root}/versions/{CUBES[cube]}/version={version}"
-        rows.select(*CUBE.fieldNames()).write.partitionBy(*MONTH).option("compression", "zstd").parquet(path)
-        return self._places(path, version)
+        with shuffles_dropped(self.spark):
+            rows.select(*CUBE.fieldNames()).write.partitionBy(*MONTH).option("compression", "zstd").parquet(path)
+            return self._places(path, version)
 
     def stage_index(self, entries: DataFrame, source: str) -> str:
         """Write the catalogue document as a new version."""
@@ -235,6 +240,20 @@ class CubeStore:
         return cube
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of queries run in this block are deleted as each ends.
+
+    Spark else keeps them until the JVM has collected the query's plan.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def only_states(snapshot: Snapshot, states: Iterable[str]) -> Snapshot:
     """A snapshot of some states alone."""
     wanted = set(states)

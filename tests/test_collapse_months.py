@@ -1,9 +1,9 @@
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from quotelens.config import MarketConfig
 from quotelens.operators import collapse, months
-from quotelens.schemas import MEASURES
+from quotelens.schemas import CUBE_KEYS, MEASURES
 from tests import frames
 
 CONFIG = MarketConfig(
@@ -66,6 +66,53 @@ def test_state_cube_equals_both_steps_and_keeps_every_measure(spark):
     assert at_once.agg(*sums).first() == cube.agg(*sums).first()
 
 
+def sparse_cube(spark):
+    """One row per key; labels that fold, that stay, that are Other or null, and months that are null."""
+    rows = [
+        {"State": s, "YYYYMM": m, "CompanyName": c, "County": y, "Quotes": q, "SumPremium": q * 1.1, "SumCompPremium": None}
+        for s in ("IL", "AZ", None) for m in (202501, 202502, None) for q, (c, y) in enumerate(
+            [("UIC", "A"), ("UIC", "B"), ("UIC", "C"), ("UIC", None), ("21", "B"), ("22", "B"), ("SunCoast", "A"),
+             ("23", "D"), ("Other", "A"), (None, "A"), (None, "Other"), ("24", "E"), ("25", "B"), ("26", "B")], start=1)
+    ]
+    return frames.cube(spark, *rows)
+
+
+def test_a_distinct_cube_is_folded_alike(spark):
+    cube = sparse_cube(spark)
+    folded, plain = collapse.state_cube(cube, CONFIG, distinct=True), collapse.state_cube(cube, CONFIG)
+    assert folded.columns == plain.columns and 0 < plain.count() < cube.count()
+    assert sorted(map(str, folded.collect())) == sorted(map(str, plain.collect()))
+    fresh = cube.where("YYYYMM is null or YYYYMM = 202502").withColumn("Quotes", F.col("Quotes") * 3)
+    merged = [collapse.merge_folded(plain, fresh, CONFIG, distinct=d) for d in (True, False)]
+    assert sorted(map(str, merged[0].collect())) == sorted(map(str, merged[1].collect()))
+
+
+def test_rows_of_a_cube_may_repeat(spark):
+    twice = sparse_cube(spark).union(sparse_cube(spark))
+    assert collapse.state_cube(twice, CONFIG).count() == collapse.state_cube(sparse_cube(spark), CONFIG).count()
+
+
+def test_only_rows_that_fold_are_shuffled(spark, tmp_path):
+    """Of a thousand companies in a thousand rows, one folds; the plan as written shuffles all rows to be regrouped."""
+    rows = [{"CompanyName": f"Mapped {n}", "County": "A"} for n in range(999)] + [{"CompanyName": "21", "County": "A"}]
+    frames.cube(spark, *rows).write.parquet(str(tmp_path / "cube"))
+    cube = spark.read.parquet(str(tmp_path / "cube"))
+
+    def shuffled(frame):
+        """Rows that meet all their dimensions in a shuffle."""
+        sizes, nodes = [], [frame._jdf.queryExecution().optimizedPlan()]
+        while nodes:
+            node = nodes.pop()
+            if node.nodeName() == "Aggregate" and node.groupingExpressions().size() == len(CUBE_KEYS):
+                sizes.append(DataFrame(getattr(spark._jvm.org.apache.spark.sql.classic, "Dataset").ofRows(
+                    spark._jsparkSession, node.child()), spark).count())
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+        return sum(sizes)
+
+    assert shuffled(collapse.state_cube(cube, CONFIG)) == 1000
+    assert shuffled(collapse.state_cube(cube, CONFIG, distinct=True)) == 1
+
+
 def test_top_lists_are_cut_before_the_shuffle(spark):
     plan = collapse.top_counties(frames.cube(spark, {}), CONFIG)._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan

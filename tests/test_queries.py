@@ -150,6 +150,21 @@ def test_a_query_of_the_monthly_cube_folds_nothing_for_the_store(spark, monkeypa
     assert {s: set(m) for s, m in snapshot.states.items()} == {s: set(m) for s, m in snapshot.monthly.items()} != {}
 
 
+def test_a_store_of_earlier_months_is_folded_without_the_later_ones(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_stores", {})
+    earlier = "YYYYMM < 202503"
+    alone = scratch.folded_months(spark, SF, earlier)
+    store = scratch.cube_store(spark, SF, folded=False)
+    assert store.snapshot().states == {} and alone.count() > 0
+    assert {m for months in scratch._folded[store.root, earlier].values() for m in months} == {"202501", "202502"}
+    merged = registry.QUERIES["merge_folded"](spark, SF).collect()
+    assert store.snapshot().states == {}
+    whole = scratch.cube_store(spark, SF).states().where(earlier)
+    assert sorted(map(str, alone.collect())) == sorted(map(str, whole.collect()))
+    assert sorted(map(str, scratch.folded_months(spark, SF, earlier).collect())) == sorted(map(str, whole.collect()))
+    assert sorted(map(str, registry.QUERIES["merge_folded"](spark, SF).collect())) == sorted(map(str, merged))
+
+
 def test_quotes_spread_by_policy_are_cleaned_without_a_further_shuffle(spark):
     """Customers are broadcast here, so nothing else spreads the quotes by policy."""
     held = spark.conf.get("spark.sql.adaptive.enabled")

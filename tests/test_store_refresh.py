@@ -1,4 +1,5 @@
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ from quotelens.plans import refresh as job
 from quotelens.plans.reporting import export_csv, report_states, state_report
 from quotelens.schemas import CUBE, FACTS, fact_schema
 from quotelens.sources import facts as sources
-from quotelens.sources.store import CubeStore
+from quotelens.sources.store import SHUFFLE_CLEANUP, CubeStore
 from tests import frames
 from verification.mapping import CONFIG, mapped_facts
 
@@ -340,3 +341,22 @@ def test_a_cube_is_written_without_a_shuffle(spark, tmp_path):
     held = cube.select(F.spark_partition_id()).distinct().count()
     assert len(list(month.glob("*.parquet"))) == held > 1
     assert sorted(r.PremBin for r in store.read("monthly", places).collect()) == [0, 1, 2, 3]
+
+
+def test_shuffle_files_go_when_a_cube_is_written(spark, tmp_path):
+    """Spark else keeps them beside the next cube's, until the JVM has collected their plan."""
+
+    def files():
+        kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {kept.apply(i).getName() for i in range(kept.size()) if kept.apply(i).getName().endswith(".data")}
+
+    rows = frames.cube(spark, *[{"PremBin": n} for n in range(40)]).repartition(4)
+    before, setting = files(), spark.conf.get(SHUFFLE_CLEANUP)
+    places = CubeStore(spark, str(tmp_path)).stage("monthly", rows)
+    for _ in range(50):  # they are deleted in the background
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before and spark.conf.get(SHUFFLE_CLEANUP) == setting
+    assert CubeStore(spark, str(tmp_path)).read("monthly", places).count() == 40
+    assert rows.count() == 40

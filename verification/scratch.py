@@ -5,16 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from quotelens.operators.collapse import state_cube
 from quotelens.operators.cube import monthly_cube
 from quotelens.schemas import FACTS
 from quotelens.sources.facts import write_facts
-from quotelens.sources.store import CubeStore
+from quotelens.sources.store import CubeStore, Places
 from verification.mapping import CONFIG, mapped_facts
 
 _stores: dict[tuple[str, str], CubeStore] = {}
+_folded: dict[tuple[str, str], Places] = {}
 _facts: dict[tuple[str, str], tuple[str, set[str]]] = {}
 
 
@@ -43,6 +44,19 @@ def cube_store(spark: SparkSession, sf_dir: str, root: str | None = None, folded
     return store
 
 
+def folded_months(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+    """Some months of the folded cube: of the state cube where that is written, else folded by the lists of all months
+    and written on first use without the other months."""
+    store = cube_store(spark, sf_dir, folded=False)
+    base = store.snapshot()
+    if base.states:
+        return store.states(base).where(which)
+    key = (store.root, which)
+    if key not in _folded:
+        _folded[key] = store.stage("states", state_cube(store.monthly(base), CONFIG, distinct=True).where(which))
+    return store.read("states", _folded[key])
+
+
 def stored_facts(spark: SparkSession, sf_dir: str, *names: str) -> str:
     """A folder with the named mapped facts (all four by default) in their stored layout, each written on first use."""
     root, written = _facts.setdefault(
