@@ -141,6 +141,17 @@ def test_tasks_of_drivers_have_a_bound(spark, monkeypatch):
     assert driver.rdd.getNumPartitions() == lines // 500 > 8
 
 
+def test_tasks_of_quotes_spread_by_policy_have_a_bound(spark, monkeypatch):
+    """Beside vehicles, as the stored cube reads them; what a task sorts would spill, had adaptive execution gathered them."""
+    plain = mapping.mapped_facts(spark, SF, "rate")["rate"]
+    monkeypatch.setattr(mapping, "MANY_LINES", 1000)
+    monkeypatch.setattr(mapping, "TASK_LINES", 500)
+    spread = mapping.mapped_facts(spark, SF, "rate", "car", by_policy=True)["rate"]
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert spread.rdd.getNumPartitions() == lines // 500 > 8
+    assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_a_query_of_the_monthly_cube_folds_nothing_for_the_store(spark, monkeypatch):
     monkeypatch.setattr(scratch, "_stores", {})
     assert scratch.cube_store(spark, SF, folded=False).snapshot().states == {}
